@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, whatever folder they are started in."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    here = str(Path(__file__).resolve().parents[1])
+    if here not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One input table; parquet files or directories alike."""
+    _let_workers_import(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
