@@ -1,2 +1,83 @@
-QUERIES = {}
-ORACLES = {}
+"""Problem 1: which lines of a page, and which titles, carry the frame of its site.
+
+Method: the flat text blocks (lines) of a page are described by their own word count and link density and those of their
+neighbours, with marks of what frames say; a decision tree trained on a small labelled table of invented pages tells frame
+from article. Flat text has no links, so the share of words in navigation labels stands in for link density. A page is read
+in one go and nothing is shuffled but the result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lodestar.llm.frames import line_features, site_of, title_has_frame
+from lodestar.llm.labelled_pages import labelled_pages
+from lodestar.runtime import parallelism, table
+
+
+def train_tree(spark: SparkSession, pages: int = 600, depth: int = 7) -> DecisionTreeClassificationModel:
+    """The tree, from the labelled table of ``pages`` invented pages (about 20 lines each)."""
+    rows = []
+    for name, site, lines in labelled_pages(pages):
+        rows += [(x, float(mark)) for x, (_, mark) in zip(line_features([t for t, _ in lines], name, site), lines)]
+    table_ = spark.createDataFrame(pd.DataFrame(rows, columns=["x", "label"]), "x array<double>, label double")
+    return DecisionTreeClassifier(featuresCol="features", labelCol="label", maxDepth=depth, minInstancesPerNode=12, seed=1).fit(
+        table_.select(array_to_vector("x").alias("features"), "label")
+    )
+
+
+def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["slug", "collected_at", "line_no", "x"]
+    for batch in batches:
+        rows = []
+        for slug, at, text, name, url, source in batch.itertuples(index=False, name=None):
+            lines = [(i, s) for i, line in enumerate(text.split("\n")) if (s := line.strip())]
+            found = line_features([s for _, s in lines], name or "", site_of(url, source))
+            rows += [(slug, at, i, x) for (i, _), x in zip(lines, found)]
+        yield pd.DataFrame(rows, columns=columns)
+
+
+@F.pandas_udf(T.BooleanType())
+def _title_has_frame(title: pd.Series, name: pd.Series, url: pd.Series, source: pd.Series) -> pd.Series:
+    return pd.Series([title_has_frame(t, n or "", site_of(u, s)) for t, n, u, s in zip(title, name, url, source)], dtype=bool)
+
+
+def frame_lines(pages: DataFrame, tree: DecisionTreeClassificationModel) -> DataFrame:
+    """(slug, collected_at, line_no): the lines of raw_text (split at ``\\n``, from 0) that the tree takes for frame.
+
+    ``pages`` has slug, collected_at, raw_text, name, website_url and source_url; other columns are not read. Null and blank
+    texts give no rows, blank lines count but are never given, repeated pages count once, texts are read whole, a null name
+    or address only takes marks away. An empty table gives no rows.
+    """
+    pages = pages.select("slug", "collected_at", "raw_text", "name", "website_url", "source_url").where("raw_text IS NOT NULL").distinct()
+    pages = pages.repartition(max(parallelism(pages.sparkSession), 2 * pages.sparkSession.sparkContext.defaultParallelism))
+    lines = pages.mapInPandas(_describe, "slug string, collected_at string, line_no int, x array<double>")
+    told = tree.transform(lines.withColumn("features", array_to_vector("x")))
+    return told.where("prediction = 1").select("slug", "collected_at", "line_no")
+
+
+def frame_titles(pages: DataFrame) -> DataFrame:
+    """(slug, collected_at): the pages whose raw_title holds words of the site besides the page's own title.
+
+    Null and blank titles give no rows; repeated pages count once.
+    """
+    pages = pages.where("trim(raw_title) <> ''").select("slug", "collected_at", "raw_title", "name", "website_url", "source_url").distinct()
+    return pages.where(_title_has_frame("raw_title", "name", "website_url", "source_url")).select("slug", "collected_at")
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    pages = table(spark, root, "raw_tools")
+    lines = frame_lines(pages, train_tree(spark)).withColumn("field", F.lit("raw_text"))
+    titles = frame_titles(pages).select("slug", "collected_at", F.lit("raw_title").alias("field"), F.lit(0).alias("line_no"))
+    return lines.select("slug", "collected_at", "field", "line_no").unionByName(titles).distinct()
+
+
+QUERIES = {"p1_found": p1_found}
+ORACLES: dict[str, str] = {}

@@ -1,2 +1,203 @@
-QUERIES = {}
-ORACLES = {}
+"""Problem 3: template residue, filler and error pages among page texts and descriptions.
+
+Method: a fixed-depth prefix tree. Short lines outside the frame of a page, with numbers and the names of tool and site
+masked, go down a tree by their number of words and their first words; lines of one leaf that agree in enough places share
+a template. Each template is classified once (error, refusal, script notice or neither) and its verdict goes to all lines
+it covers; a page whose lines have such a verdict and that has no article is spoilt. Unfilled slots and filler are looked
+for in every line of every record.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestar.llm.frames import BULLET, FEATURES, HEADINGS, STOPS, line_features, site_of
+from lodestar.runtime import parallelism, table
+
+#: Longest line, in words, that can be a message of its own; longer lines are running text.
+MESSAGE_WORDS = 24
+#: Words of a line that choose its leaf, and share of places in which lines of one template agree.
+DEPTH, AGREE = 2, 0.65
+#: Distinct lines of one leaf that are compared in one task before the templates of all tasks are compared.
+LEAF_LINES = 20_000
+
+_INSIDE = r"[A-Za-z_][\w.\- ]{0,40}"
+SLOT = re.compile(
+    r"\{\{[^{}\n]{0,60}\}\}|[$#]\{[^{}\n]{1,60}\}|\{%[^%\n]{1,60}%\}|<%[=-]?[^%\n]{1,60}%>|\[%[^%\n]{1,60}%\]|\[\[[^\[\]\n]{1,60}\]\]|\{![^{}\n]{1,60}!\}"
+    rf"|@@{_INSIDE}@@|%%{_INSIDE}%%|%[A-Za-z_][\w.]*(?: [\w.]+){{0,2}}%|\$[A-Za-z_][\w.]*(?: [\w.]+){{0,2}}\$|__{_INSIDE}?__(?!\w)|\{{(?:\d+|{_INSIDE})\}}|~[a-z]+(?: [a-z]+){{0,3}}~"
+    rf"|<(?!/|a\b|b\b|i\b|p\b|br\b|div\b|em\b|ul\b|li\b|span\b|strong\b){_INSIDE}>|\[(?!\d|x\]|\w+\]\(){_INSIDE}\](?!\()|\bXXX-\w+-XXX\b|\[object Object\]|(?<![\w.'\"-])undefined(?!\s+(?:function|variable|index|method|symbol|reference|behaviou?r|offset))\b|\bnull - null\b|^(?:null|NaN|None|undefined)$"
+)
+#: Words with which a text speaks about slots and filler instead of having one left over.
+SPEAKS = re.compile(r"(?i)\b(?:fills?(?: in| out)?|filled|replaced?|replaces|variables?|placeholders?|substitut\w*|merge (?:tags?|fields?)|drop|shortcut|swap|syntax|snippets?|when it is sent|remplac\w*|variable|rellena|reemplaza|ersetzt|platzhalter)\b")
+# Words of the usual Latin filler.
+LATIN = set("""lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud
+exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat
+non proident sunt culpa qui officia deserunt mollit anim id est laborum vitae massa augue quam sem lectus porta eros ullam cor vel nunc eget mauris tellus""".split())
+FILLER = re.compile(
+    r"(?i)^\W*(?:your (?:\w+ ){0,2}(?:text|description|title|content|tagline|copy) (?:goes )?here|(?:add|insert|enter|put|write) (?:a |an |your |the )?(?:\w+ ){0,3}(?:text|description|summary|title|tagline|content)(?: of your \w+)?(?: here)?"
+    r"|replace this (?:text|copy|description)\b.*|(?:meta )?(?:description|title|summary|text) (?:goes )?here\b.*|meta[ -]?description|(?:todo|tbd|fixme|xxx)\b.*|(?:sample|dummy|placeholder|filler|example|default) (?:text|description|content|copy)\b.*"
+    r"|blah(?: blah)+|asdf\w*|test test\b.*|text kommt noch|hier steht ihr text|texte à venir|votre texte ici|texto de (?:ejemplo|relleno)|su texto aquí|tu texto aquí|beispieltext|blindtext)\W*$"
+)
+_SCRIPTS = r"(?:java\s?script|client-side\ scripting|scripting|scripts?|js)\b"
+MESSAGE = re.compile(
+    rf"(?ix) \b(?:enable|enabled|activate|turn\ on|switch\ on|allow|requires?|needs?|activer|activez|aktivieren|activar?|active|habilit\w*|permit)\b .{{0,40}} {_SCRIPTS} | {_SCRIPTS} .{{0,40}} \b(?:is|are|seems?|be|to\ be|est|ist|está)\b .{{0,12}} \b(?:disabled|off|required|needed|blocked|désactivé|deaktiviert|desactivado)\b"
+    rf"| {_SCRIPTS}\ (?:is\ |are\ )?(?:required|needed|disabled|blocked)\b | \b(?:engineers?|team|admin\w*)\ (?:has|have|was|were)\ (?:been\ )?(?:told|notified|informed) | \b(?:please\ )?try\ again\ (?:later|in\ a|soon)"
+    rf"| \bdoes\ not\ (?:run|support)\ {_SCRIPTS}"
+    r"| \b(?:error|http|status|fehler|erreur)\W{0,3}[45]\d\d\b | ^\W*[45]\d\d\b(?:\W*$|\W+\D{0,40}$) | \berror\ [45]\#+ | ^\W*\#+\W*$"
+    r"| \bnot\ found\b | \bno\ longer\ (?:here|available|exists?) | \bcould\ (?:not|n't)\ be\ (?:found|loaded|shown|displayed) | \bcan(?:not|'t)\ (?:find|be\ found|be\ reached) | \b(?:was|has\ been|were)\ (?:removed|deleted|taken\ down|moved)\b | \bhas\ moved\b | \bnever\ existed | \b(?:does|do)(?:\ not|n't)\ exist | \bnothing\ lives\ at | \bwent\ missing | \b(?:page|address|link)\ (?:is|seems)\ (?:gone|broken|missing)"
+    r"| n'existe\ (?:pas|plus) | \bintrouvable | \bn'est\ (?:plus|pas)\ disponible | nicht\ (?:gefunden|vorhanden|verfügbar|erreichbar) | \bno\ (?:existe|se\ encuentra|está\ disponible) | \bno\ encontrad[ao]"
+    r"| \bbad\ gateway | \bservice\ (?:is\ )?(?:temporarily\ )?unavailable | \binternal\ server\ error | \bgateway\ time-?out | \bdatabase\ connection | \b(?:fatal|parse|syntax|runtime|server)\ error\b | \btraceback\ \( | \b\w*(?:error|exception):\s | \buncaught\b | \bstack\ trace | \bsomething\ (?:broke|went\ wrong) | \b(?:down|closed)\ for\ maintenance | \bunder\ (?:maintenance|construction) | \bbe\ (?:right\ )?back\ (?:soon|shortly) | \bmaintenance\ en\ cours | \bwartungsarbeiten | \ben\ mantenimiento | \bcoming\ soon\W*$"
+    r"| \baccess\ (?:is\ |was\ )?denied | \bforbidden\b | \b(?:do\ not|don't)\ have\ permission | \bnot\ authori[sz]ed | \bunauthori[sz]ed | \bnot\ available\ in\ your\ (?:region|country) | \bverify\ (?:that\ )?you\ are\ (?:a\ )?human | \bchecking\ your\ browser | \bare\ you\ a\ robot | \bcaptcha\b | \btoo\ many\ requests | \bunusual\ traffic | \b(?:request|ip|address|you)\ (?:has\ been|have\ been|was|is|are)\ blocked | \bsession\ (?:has\ )?expired | \b(?:log|sign)\ in\ to\ (?:continue|view) | \baccès\ (?:refusé|interdit) | \bzugriff\ (?:verweigert|verboten) | \bacceso\ (?:denegado|prohibido)"
+)
+#: A line that tells about messages instead of being one: it names the tool, quotes, or says who sees what.
+TELLS = re.compile(r"(?i)<name>|\"[^\"]+\"|[“«„]|\b(?:alerts?|groups|tells?|shows?|tracking|tracks?|finds?|monitors?|visitors?'?s?|widget|itself|the form|every broken)\b")
+
+
+def mask(line: str, name: str, site: str) -> str:
+    """The line with the names of tool and site and all numbers masked, in lower case."""
+    line = " ".join(line.split())
+    for text, sign in ((name, "<name>"), (site.split(".")[0], "<site>")):
+        if text and len(text) > 2:
+            line = re.sub(rf"(?i)(?<!\w){re.escape(text)}(?!\w)", sign, line)
+    return re.sub(r"\d+", "#", line).lower()
+
+
+def has_slot(line: str) -> bool:
+    """Whether a line has an unfilled slot; a line that speaks about slots has none."""
+    return bool(SLOT.search(line)) and not SPEAKS.search(SLOT.sub(" ", line))
+
+
+def is_filler(line: str) -> bool:
+    """Whether a line is filler: mostly words of Latin filler text, or a stock phrase that holds a place."""
+    words = re.findall(r"[^\W\d_]+", line.lower())
+    latin = sum(w in LATIN for w in words)
+    return len(words) > 2 and latin >= 0.6 * len(words) or bool(FILLER.match(line))
+
+
+_MARKED = {FEATURES.index("marked"), FEATURES.index("is_name")}
+_LINE = "slug string, collected_at string, field string, masked string, words int, article boolean, residue boolean"
+
+
+def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines of each record that matter: short ones outside the frame, articles' (once a record), and residue (once)."""
+    for batch in batches:
+        rows = []
+        for slug, at, text, about, name, url, source in batch.itertuples(index=False, name=None):
+            site, name = site_of(url, source), (name or "").strip()
+            for field, value in (("raw_text", text), ("raw_meta_desc", about)):
+                lines = [s for line in (value or "").split("\n") if (s := line.strip())]
+                if not lines:
+                    continue
+                key = (slug, at, field)
+                if any(has_slot(x) or is_filler(x) for x in lines):
+                    rows.append((*key, None, 0, False, True))
+                    continue
+                features = line_features(lines, name, site) if field == "raw_text" else [None] * len(lines)
+                article = False
+                for line, x in zip(lines, features):
+                    if x and any(x[i] for i in _MARKED) or line.lower() in HEADINGS:
+                        continue
+                    masked = mask(line, name, site)
+                    words = len(masked.split())
+                    said = field == "raw_text" and (words > MESSAGE_WORDS or bool(BULLET.match(line)) or bool(STOPS.search(line)) and not MESSAGE.search(masked) and words > 5 or TELLS.search(masked) is not None)
+                    article |= said
+                    if words <= MESSAGE_WORDS:
+                        rows.append((*key, masked, words, False, False))
+                if article:
+                    rows.append((*key, None, 0, True, False))
+        yield pd.DataFrame(rows, columns=["slug", "collected_at", "field", "masked", "words", "article", "residue"])
+
+
+def merge_lines(lines: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Template of each line of one leaf, all of the same number of words: the first template that agrees in enough places.
+
+    Places that differ become ``<*>``. Lines come with their counts, most frequent first; the result keeps their order.
+    """
+    templates: list[list[str]] = []
+    at: list[int] = []
+    known: dict[tuple[str, ...], int] = {}
+    for line, _ in lines:
+        words = line.split()
+        found = known.get(tuple(words))
+        if found is None:
+            best, found = AGREE * len(words), -1
+            for i, template in enumerate(templates):
+                same = sum(a == b or a == "<*>" for a, b in zip(template, words))
+                if same >= best and (found < 0 or same > best):
+                    best, found = same, i
+            if found < 0:
+                found = len(templates)
+                templates.append(words)
+            else:
+                templates[found] = [a if a == b else "<*>" for a, b in zip(templates[found], words)]
+            known[tuple(words)] = found
+        at.append(found)
+    return [(" ".join(templates[i]), count) for i, (_, count) in zip(at, lines)]
+
+
+def is_message(line: str) -> bool:
+    """Whether a masked line is an error, a refusal or a script notice, and does not merely tell of one."""
+    return bool(MESSAGE.search(line)) and not TELLS.search(line)
+
+
+def _leaf(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values(["n", "masked"], ascending=[False, True])
+    rows = rows.assign(template=[t for t, _ in merge_lines(list(zip(rows["masked"], rows["n"])))])
+    verdicts = {t: is_message(line) for t, line in rows.groupby("template")["masked"].first().items()}
+    return rows[["masked", "template", "n"]].assign(message=rows["template"].map(verdicts).astype(bool))
+
+
+def mine_templates(lines: DataFrame) -> DataFrame:
+    """(masked, template, n, message): the template of every distinct short line, and whether the template is a message.
+
+    A template is judged once, by its most frequent line.
+    ``lines`` has masked (string) and words (int). Lines are first counted, so that repeats travel once. A leaf with very
+    many distinct lines is cut by hash, and each part finds its templates by itself; a line's template may then be less
+    general, never missing. Null lines do not count; no lines give no rows.
+    """
+    counted = lines.where("masked IS NOT NULL").groupBy("masked", "words").agg(F.count("*").alias("n"))
+    word = lambda i: F.get(F.split("masked", " "), F.lit(i))
+    leaf = F.concat_ws(" ", F.col("words").cast("string"), *[F.when(word(i).rlike(r"[#<{\[]"), "<*>").otherwise(word(i)) for i in range(DEPTH)])
+    counted = counted.withColumn("leaf", leaf)
+    parts = counted.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_LINES).alias("parts")).where("parts > 1")
+    counted = counted.join(parts, "leaf", "left").withColumn("part", F.pmod(F.xxhash64("masked"), F.coalesce("parts", F.lit(1))))
+    return counted.select("leaf", "part", "masked", "n").groupBy("leaf", "part").applyInPandas(_leaf, "masked string, template string, n long, message boolean")
+
+
+def spoilt_values(pages: DataFrame) -> DataFrame:
+    """(slug, collected_at, field): the raw_text and raw_meta_desc values with residue or filler, or a message for content.
+
+    ``pages`` has slug, collected_at, raw_text, raw_meta_desc, name, website_url and source_url; other columns are not read.
+    Null and blank values are no cases, repeated rows count once, texts are read whole. An empty table gives no rows.
+    """
+    columns = ["slug", "collected_at", "raw_text", "raw_meta_desc", "name", "website_url", "source_url"]
+    pages = pages.select(*columns).distinct()
+    pages = pages.repartition(max(parallelism(pages.sparkSession), 2 * pages.sparkSession.sparkContext.defaultParallelism))
+    lines = pages.mapInPandas(_read, _LINE)
+    messages = mine_templates(lines).where("message").select("masked", F.lit(True).alias("message"))
+    told = lines.join(messages, "masked", "left")
+    key = ["slug", "collected_at", "field"]
+    records = told.groupBy(*key).agg(
+        F.bool_or("residue").alias("residue"), F.bool_or("article").alias("article"), F.bool_or(F.coalesce("message", F.lit(False))).alias("message")
+    )
+    return records.where("residue OR (message AND NOT article)").select(*key)
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return spoilt_values(table(spark, root, "raw_tools"))
+
+
+def p3_templates(spark: SparkSession, root: str) -> DataFrame:
+    """The message templates of all pages, with the number of lines each covers."""
+    columns = ["slug", "collected_at", "raw_text", "raw_meta_desc", "name", "website_url", "source_url"]
+    lines = table(spark, root, "raw_tools").select(*columns).distinct().mapInPandas(_read, _LINE)
+    return mine_templates(lines).where("message").groupBy("template").agg(F.sum("n").alias("lines"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_templates": p3_templates}
+ORACLES: dict[str, str] = {}
