@@ -80,11 +80,11 @@ def is_filler(line: str) -> bool:
 
 
 _MARKED = {FEATURES.index("marked"), FEATURES.index("is_name")}
-_LINE = "slug string, collected_at string, field string, masked string, words int, article boolean, residue boolean"
+_LINE = "slug string, collected_at string, field string, masked string, words int, residue boolean"
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The lines of each record that matter: short ones outside the frame, articles' (once a record), and residue (once)."""
+    """What can make a record a case: its residue (one row), or, of records without an article, the short lines outside the frame."""
     for batch in batches:
         rows = []
         for slug, at, text, about, name, url, source in batch.itertuples(index=False, name=None):
@@ -95,10 +95,10 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 key = (slug, at, field)
                 if any(has_slot(x) or is_filler(x) for x in lines):
-                    rows.append((*key, None, 0, False, True))
+                    rows.append((*key, None, 0, True))
                     continue
                 features = line_features(lines, name, site) if field == "raw_text" else [None] * len(lines)
-                article = False
+                article, short = False, []
                 for line, x in zip(lines, features):
                     if x and any(x[i] for i in _MARKED) or line.lower() in HEADINGS:
                         continue
@@ -106,11 +106,13 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     words = len(masked.split())
                     said = field == "raw_text" and (words > MESSAGE_WORDS or bool(BULLET.match(line)) or bool(STOPS.search(line)) and not MESSAGE.search(masked) and words > 5 or TELLS.search(masked) is not None)
                     article |= said
+                    if article:
+                        break
                     if words <= MESSAGE_WORDS:
-                        rows.append((*key, masked, words, False, False))
-                if article:
-                    rows.append((*key, None, 0, True, False))
-        yield pd.DataFrame(rows, columns=["slug", "collected_at", "field", "masked", "words", "article", "residue"])
+                        short.append((*key, masked, words, False))
+                if not article:
+                    rows += short
+        yield pd.DataFrame(rows, columns=["slug", "collected_at", "field", "masked", "words", "residue"])
 
 
 def merge_lines(lines: list[tuple[str, int]]) -> list[tuple[str, int]]:
@@ -182,10 +184,7 @@ def spoilt_values(pages: DataFrame) -> DataFrame:
     messages = mine_templates(lines).where("message").select("masked", F.lit(True).alias("message"))
     told = lines.join(messages, "masked", "left")
     key = ["slug", "collected_at", "field"]
-    records = told.groupBy(*key).agg(
-        F.bool_or("residue").alias("residue"), F.bool_or("article").alias("article"), F.bool_or(F.coalesce("message", F.lit(False))).alias("message")
-    )
-    return records.where("residue OR (message AND NOT article)").select(*key)
+    return told.where("residue OR message").select(*key).distinct()
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
