@@ -1,2 +1,188 @@
-QUERIES = {}
-ORACLES = {}
+"""Problem 6: values that a field limit or a broken transfer cut off, and how often each source cuts.
+
+Method: the length of every value is recomputed under other encodings (UTF-8 bytes, UTF-16 units), with entities escaped,
+with JSON escapes and with other line ends; grouped by field, source and measure, lengths at which values pile up with
+nothing beyond them expose storage limits. Then the endings are inspected: a mark of a cut, a broken character, a last
+sentence without its end, or a single phrase whose last word is the start of another word, never ends a sentence elsewhere,
+or which starts as sentences do. All of it is built of Spark expressions and aggregates over all values.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestar.runtime import cut_lineage, table
+
+STOP = ".!?。！？؟।"
+CLOSE = "\"'”’»)\\]」』）"
+#: A length is a limit if at least so many values have it, and it is so many times as frequent as lengths near it.
+LIMIT_VALUES, LIMIT_PEAK, NEAR = 4, 3, 12
+# Abbreviations that want something after them, and words that may stand before dots without a cut.
+WANTS_MORE = r"(?i)(?:^|[\s(])(?:e\.g|i\.e|vs|cf|approx|no|dr|mr|mrs|ms|prof|sr|sra|dra|st|mme|p\. ?ex|p\. ?ej|z\. ?b|d\. ?h|u\. ?a|nr|bzw|ca|art|pág|fig|jan|feb)\.$"
+OPEN_END = r"(?i)(?:and (?:much |many )?more|and so on|and so forth|et (?:bien )?plus encore|et cetera|y (?:mucho )?más|und (?:vieles |so )?(?:mehr|weiter)|など|等等)(?:\.{3}|…)[\"”»]?$"
+
+
+def measures(text: Column) -> dict[str, Column]:
+    """The lengths of a value under the encodings and escapings a store may count in."""
+    extra = lambda pattern, by: F.length(F.regexp_replace(text, f"[^{pattern}]", "")) * F.lit(by)
+    points, bytes_, units = F.length(text), F.octet_length(text), (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
+    escapes = extra("\"\\\\\\n\\t\\r", 1)
+    beyond = F.octet_length(F.encode(F.regexp_replace(text, "[\\x00-\\x7f]", ""), "UTF-16BE")) / 2
+    return {
+        "code_points": points,
+        "utf8_bytes": bytes_,
+        "utf16_units": units,
+        "html_escaped": points + extra("&", 4) + extra("<>", 3) + extra("\"", 5),
+        "json_escaped": points + escapes,
+        "json_ascii": (units + escapes + beyond * 5).cast("int"),
+        "crlf": points + extra("\\n", 1),
+    }
+
+
+def hidden_limits(values: DataFrame) -> DataFrame:
+    """(field, site, measure, limit, at_limit): lengths at which the values of a field pile up with none longer.
+
+    ``values`` has field, site and text. Limits are looked for in each source and, with a null site, in each whole field.
+    """
+    lengths = values.select("field", "site", F.explode(F.map_from_arrays(*_arrays(measures(F.col("text"))))).alias("measure", "length"))
+    counted = lengths.groupBy("field", "site", "measure", "length").agg(F.count("*").alias("n"))
+    counted = counted.select("field", "measure", "length", "n", F.explode(F.array(F.col("site"), F.lit(None))).alias("site"))
+    counted = counted.groupBy("field", "site", "measure", "length").agg(F.sum("n").alias("n"))
+    # One row for each length that occurs: at most the field's limit, so the struct of a source stays small.
+    shape = counted.groupBy("field", "site", "measure").agg(F.max(F.struct("length", "n")).alias("top"), F.collect_list(F.struct("length", "n")).alias("all"))
+    near = F.aggregate("all", F.lit(0).cast("long"), lambda s, x: s + F.when((x["length"] < F.col("top.length")) & (x["length"] >= F.col("top.length") - NEAR), x["n"]).otherwise(0))
+    return shape.where((F.col("top.n") >= LIMIT_VALUES) & (F.col("top.n") * NEAR >= near * LIMIT_PEAK)).select(
+        "field", "site", "measure", F.col("top.length").alias("limit"), F.col("top.n").alias("at_limit")
+    )
+
+
+def _arrays(columns: dict[str, Column]) -> tuple[Column, Column]:
+    return F.array(*[F.lit(name) for name in columns]), F.array(*columns.values())
+
+
+def _endings(values: DataFrame) -> DataFrame:
+    """Adds what the ending of a value says: ``verdict`` (true, false or null for a single phrase) and the words to look up."""
+    v = F.regexp_replace("text", "^[\\s\\u00a0\\ufeff]+|[\\s\\u00a0\\ufeff]+$", "")
+    values = values.withColumn("v", v).where("v <> ''")
+    v = F.col("v")
+    last_part = F.regexp_replace(v, f"(?s)^.*(?:[.!?؟।…][{CLOSE}]*[\\s\\u00a0]|[。！？][{CLOSE}]*|\\n)[\\s\\u00a0]*", "")
+    values = values.withColumn("part", last_part)
+    part = F.col("part")
+    dots = v.rlike(f"(?:…|\\.{{3}}|\\[…\\])[{CLOSE}]*$")
+    whole_part = (
+        part.rlike(r"^(?:https?://|www\.)?[\w-]+(?:\.[\w-]+)+\.?[a-z]{2,}(?:/\S*)?$") & ~part.rlike(r"^www\.[\w-]+$")
+        | part.rlike(r"^\([^()]*\)$") | part.rlike(r"\[[^\[\]]+\]\([^()\s]+\)$") | part.rlike("^[^\\p{L}\\p{N}]*$") | v.rlike("[\\x{1F300}-\\x{1FAFF}\\x{2600}-\\x{27BF}]\\x{FE0F}?$")
+    )
+    listed = part.rlike(r"^(?:[-*•✓]|\d{1,2}[.)])\s")
+    first_only = part == v
+    verdict = (
+        F.when(v.rlike("\\x{FFFD}$"), True)
+        .when(v.rlike(OPEN_END), False)
+        .when(dots, True)
+        .when(v.rlike(f"[{STOP}][{CLOSE}]*$"), v.rlike(WANTS_MORE))
+        .when(whole_part, False)
+        .when(v.rlike("[,;:(\\[-]$"), True)
+        .when(listed | first_only, F.when(part.rlike("[\\x{3040}-\\x{30FF}\\x{3400}-\\x{9FFF}]$"), part.rlike("[はをが、，]")))
+        .otherwise(True)
+    )
+    word = lambda text: F.lower(F.regexp_replace(text, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
+    return values.select(
+        "field", "row_key", "row_version", "site", "text", "v", verdict.alias("verdict"), listed.alias("listed"),
+        word(F.regexp_extract(part, r"(\S+)$", 1)).alias("last_word"), F.regexp_extract(part, r"^(\S+\s+\S+)", 1).alias("opening"),
+    )
+
+
+def _vocabulary(values: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(last_word, ends, goes_on), (last_word) that begin longer words, and (opening, sentences): counts over all values."""
+    sentences = values.select(F.posexplode(F.split("v", f"(?<=[.!?])[{CLOSE}]?\\s+")).alias("no", "s"), F.col("v"))
+    tokens = values.select(F.explode(F.slice(F.split("v", "\\s+"), F.lit(1), F.greatest(F.size(F.split("v", "\\s+")) - 1, F.lit(0)))).alias("t"))
+    closing = values.where(F.col("v").rlike(f"[{STOP}][{CLOSE}]*$")).select(F.regexp_extract("v", r"(\S+)$", 1).alias("t"))
+    marked = tokens.unionByName(closing).select(
+        F.lower(F.regexp_replace("t", "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", "")).alias("last_word"), F.col("t").rlike(f"[{STOP}][{CLOSE}]*$").alias("at_end")
+    )
+    words = cut_lineage(
+        marked.where("last_word <> '' AND length(last_word) <= 40").groupBy("last_word").agg(F.count_if("at_end").alias("ends"), F.count_if(~F.col("at_end")).alias("goes_on"))
+    )
+    starts = words.where("length(last_word) > 1").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("last_word") - 1), lambda i: F.substring("last_word", F.lit(1), i))).alias("last_word"))
+    finished = sentences.where(F.col("s").rlike("[.!?]$") | F.col("s").rlike(f"[.!?][{CLOSE}]$"))
+    openings = finished.select(F.regexp_extract("s", r"^(\S+\s+\S+)", 1).alias("opening")).where("opening <> ''").groupBy("opening").agg(F.count("*").alias("sentences"))
+    return words, starts.distinct(), openings.where("sentences >= 2")
+
+
+def cut_values(values: DataFrame) -> DataFrame:
+    """(field, row_key, row_version, site, limit_measure): the values that stop inside a word or sentence because they were cut.
+
+    ``values`` has field, row_key, row_version, site and text. Null and blank texts are no cases; repeated rows count once;
+    a null site counts for the whole field only; other columns are not read. limit_measure names a measure under which the
+    value has the length of a hidden limit, or is null. No rows give no rows.
+    """
+    values = values.select("field", "row_key", "row_version", "site", "text").where("text IS NOT NULL").distinct()
+    ended = cut_lineage(_endings(values))
+    limits = hidden_limits(ended)
+    of_field = limits.where("site IS NULL").groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("field_limits"))
+    of_site = limits.where("site IS NOT NULL").groupBy("field", "site").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("site_limits"))
+    words, starts, openings = _vocabulary(ended)
+    open_words = ended.where("verdict IS NULL").select("last_word").distinct()
+    facts = (
+        open_words.join(words, "last_word", "left")
+        .join(starts.join(open_words, "last_word", "left_semi").withColumn("begins_word", F.lit(True)), "last_word", "left")
+        .select("last_word", F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("goes_on", F.lit(0)).alias("goes_on"), F.coalesce("begins_word", F.lit(False)).alias("begins_word"))
+    )
+    told = (
+        ended.join(F.broadcast(of_field), "field", "left").join(of_site, ["field", "site"], "left")
+    )  # one row for each of the few fields, so a broadcast
+    lengths = F.map_from_arrays(*_arrays(measures(F.col("text"))))
+    hit = lambda limits_: F.filter(F.map_keys(lengths), lambda m: F.coalesce(F.element_at(lengths, m) == F.try_element_at(F.col(limits_), m), F.lit(False)))
+    told = told.withColumn("limit_measure", F.coalesce(F.get(hit("site_limits"), F.lit(0)), F.get(hit("field_limits"), F.lit(0))))
+    sure = told.where("verdict")
+    phrases = told.where("verdict IS NULL").join(facts, "last_word", "left").join(openings, "opening", "left")
+    broken_word = "coalesce(ends, 0) = 0 AND (coalesce(goes_on, 0) > 0 OR coalesce(begins_word, false)) AND last_word <> ''"
+    as_sentence = "NOT listed AND sentences IS NOT NULL"
+    unsure = phrases.where(f"({broken_word}) OR ({as_sentence}) OR (NOT listed AND limit_measure IS NOT NULL)")
+    columns = ["field", "row_key", "row_version", "site", "limit_measure"]
+    return sure.select(*columns).unionByName(unsure.select(*columns))
+
+
+def host(url: Column) -> Column:
+    """Host of an address: lower case, without scheme, login, port and ``www.``; null where there is none."""
+    bare = F.regexp_replace(F.lower(F.trim(url)), r"^(?:[a-z][a-z0-9+.-]*:)?/*(?:[^/@]*@)?(?:www\.)?", "")
+    return F.nullif(F.regexp_extract(bare, r"^([^/?#:\s]*)", 1), F.lit(""))
+
+
+def sourced_values(spark: SparkSession, root: str) -> DataFrame:
+    """The values of the three fields that are asked for, with the host of their tool."""
+    sites = table(spark, root, "raw_tools").select("slug", host(F.col("website_url")).alias("site")).groupBy("slug").agg(F.min("site").alias("site"))
+    tools = table(spark, root, "enriched_tools").select(
+        "slug", F.coalesce("enriched_at", F.lit("")).alias("row_version"),
+        F.explode(F.map_from_arrays(F.array(F.lit("seo_description"), F.lit("short_desc")), F.array("seo_description", "short_desc"))).alias("field", "text"),
+    )
+    tools = tools.select("slug", "field", F.col("slug").alias("row_key"), "row_version", "text")
+    pages = table(spark, root, "page_seo").select(
+        F.element_at(F.split("page_key", "-vs-"), 1).alias("slug"), F.lit("intro_md").alias("field"), F.col("id").cast("string").alias("row_key"), F.lit("").alias("row_version"), F.col("intro_md").alias("text")
+    )
+    values = tools.unionByName(pages).where("text IS NOT NULL").distinct()
+    return values.join(sites, "slug", "left").drop("slug")
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return cut_values(sourced_values(spark, root)).select("field", "row_key", "row_version").distinct()
+
+
+def p6_rates(spark: SparkSession, root: str) -> DataFrame:
+    """Of each field and source: values, cut values and their share; a source without an address has a null site."""
+    values = sourced_values(spark, root).where("trim(text) <> ''")
+    total = values.groupBy("field", "site").agg(F.count("*").alias("n_values"))
+    cut = cut_values(values).groupBy("field", "site").agg(F.count("*").alias("n_cut"))
+    joined = total.alias("t").join(cut.alias("c"), (F.col("t.field") == F.col("c.field")) & F.col("t.site").eqNullSafe(F.col("c.site")), "left")
+    n_cut = F.coalesce("c.n_cut", F.lit(0))
+    return joined.select("t.field", "t.site", "n_values", n_cut.alias("n_cut"), F.round(n_cut / F.col("n_values"), 6).alias("share_cut"))
+
+
+def p6_limits(spark: SparkSession, root: str) -> DataFrame:
+    """The hidden limits of fields and sources, by measure."""
+    return hidden_limits(sourced_values(spark, root).where("trim(text) <> ''"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_rates": p6_rates, "p6_limits": p6_limits}
+ORACLES: dict[str, str] = {}
