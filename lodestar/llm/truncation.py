@@ -18,6 +18,8 @@ STOP = ".!?。！？؟।"
 CLOSE = "\"'”’»)\\]」』）"
 #: A length is a limit if at least so many values have it, and it is so many times as frequent as lengths near it.
 LIMIT_VALUES, LIMIT_PEAK, NEAR = 4, 3, 12
+#: A word ends sentences if at least this share of its uses does; list items may end in any known word.
+RARE_END = 0.02
 # Abbreviations that want something after them, and words that may stand before dots without a cut.
 WANTS_MORE = r"(?i)(?:^|[\s(])(?:e\.g|i\.e|vs|cf|approx|no|dr|mr|mrs|ms|prof|sr|sra|dra|st|mme|p\. ?ex|p\. ?ej|z\. ?b|d\. ?h|u\. ?a|nr|bzw|ca|art|pág|fig|jan|feb)\.$"
 OPEN_END = r"(?i)(?:and (?:much |many )?more|and so on|and so forth|et (?:bien )?plus encore|et cetera|y (?:mucho )?más|und (?:vieles |so )?(?:mehr|weiter)|など|等等)(?:\.{3}|…)[\"”»]?$"
@@ -137,9 +139,10 @@ def cut_values(values: DataFrame) -> DataFrame:
     told = told.withColumn("limit_measure", F.coalesce(F.get(hit("site_limits"), F.lit(0)), F.get(hit("field_limits"), F.lit(0))))
     sure = told.where("verdict")
     phrases = told.where("verdict IS NULL").join(facts, "last_word", "left").join(openings, "opening", "left")
-    broken_word = "coalesce(ends, 0) = 0 AND (coalesce(goes_on, 0) > 0 OR coalesce(begins_word, false)) AND last_word <> ''"
+    inside = f"coalesce(ends, 0) < {RARE_END} * (coalesce(ends, 0) + coalesce(goes_on, 0)) AND NOT listed"
+    broken_word = f"last_word <> '' AND ({inside} OR coalesce(ends + goes_on, 0) = 0 AND coalesce(begins_word, false))"
     as_sentence = "NOT listed AND sentences IS NOT NULL"
-    unsure = phrases.where(f"({broken_word}) OR ({as_sentence}) OR (NOT listed AND limit_measure IS NOT NULL)")
+    unsure = phrases.where(f"({broken_word}) OR ({as_sentence}) OR limit_measure IS NOT NULL")
     columns = ["field", "row_key", "row_version", "site", "limit_measure"]
     return sure.select(*columns).unionByName(unsure.select(*columns))
 
