@@ -16,8 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm.frames import BULLET, FEATURES, HEADINGS, STOPS, line_features, site_of
-from lodestar.runtime import parallelism, table
+from lodestar.llm.frames import BULLET, FEATURES, FRAME_SENTENCE, HEADINGS, STOPS, line_features, site_of
+from lodestar.runtime import cut_lineage, parallelism, table
 
 #: Longest line, in words, that can be a message of its own; longer lines are running text.
 MESSAGE_WORDS = 24
@@ -79,6 +79,11 @@ def is_filler(line: str) -> bool:
     return len(words) > 2 and latin >= 0.6 * len(words) or bool(FILLER.match(line))
 
 
+def _is_prose(line: str) -> bool:
+    """Whether a line is running text of an article by itself, whatever stands around it."""
+    return line.count(" ") >= MESSAGE_WORDS and len(STOPS.findall(line)) > 1 and not FRAME_SENTENCE.search(line)
+
+
 _MARKED = {FEATURES.index("marked"), FEATURES.index("is_name")}
 _LINE = "slug string, collected_at string, field string, masked string, words int, residue boolean"
 
@@ -97,6 +102,8 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if any(has_slot(x) or is_filler(x) for x in lines):
                     rows.append((*key, None, 0, True))
                     continue
+                if field == "raw_text" and any(_is_prose(x) for x in lines):
+                    continue
                 features = line_features(lines, name, site) if field == "raw_text" else [None] * len(lines)
                 article, short = False, []
                 for line, x in zip(lines, features):
@@ -180,7 +187,7 @@ def spoilt_values(pages: DataFrame) -> DataFrame:
     columns = ["slug", "collected_at", "raw_text", "raw_meta_desc", "name", "website_url", "source_url"]
     pages = pages.select(*columns).distinct()
     pages = pages.repartition(max(parallelism(pages.sparkSession), 2 * pages.sparkSession.sparkContext.defaultParallelism))
-    lines = pages.mapInPandas(_read, _LINE)
+    lines = cut_lineage(pages.mapInPandas(_read, _LINE))
     messages = mine_templates(lines).where("message").select("masked", F.lit(True).alias("message"))
     told = lines.join(messages, "masked", "left")
     key = ["slug", "collected_at", "field"]
@@ -195,6 +202,7 @@ def p3_templates(spark: SparkSession, root: str) -> DataFrame:
     """The message templates of all pages, with the number of lines each covers."""
     columns = ["slug", "collected_at", "raw_text", "raw_meta_desc", "name", "website_url", "source_url"]
     lines = table(spark, root, "raw_tools").select(*columns).distinct().mapInPandas(_read, _LINE)
+    lines = cut_lineage(lines)
     return mine_templates(lines).where("message").groupBy("template").agg(F.sum("n").alias("lines"))
 
 
