@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from lodestar.plans import catalogue, matching, tables
+
+_MODULES = (matching, catalogue, tables)
+
+QUERIES = {name: query for module in _MODULES for name, (query, _) in module.ENTRIES.items()}
+ORACLES = {name: sql for module in _MODULES for name, (_, sql) in module.ENTRIES.items() if sql}
