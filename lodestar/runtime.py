@@ -39,3 +39,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def parallelism(spark: SparkSession) -> int:
     """Shuffle partitions of the session, the unit in which spreads of hot groups are chosen."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partitions by key in a fixed number, before Python works on groups that are small in bytes but long in time.
+
+    Adaptive execution merges partitions by their bytes and would put such groups into a few tasks; it leaves a number that
+    was asked for. A grouping by the same keys needs no further shuffle.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(parallelism(spark), 4 * spark.sparkContext.defaultParallelism), *keys)
