@@ -45,9 +45,10 @@ def measures(text: Column) -> dict[str, Column]:
 def hidden_limits(values: DataFrame) -> DataFrame:
     """(field, site, measure, limit, at_limit): lengths at which the values of a field pile up with none longer.
 
-    ``values`` has field, site and text. Limits are looked for in each source and, with a null site, in each whole field.
+    ``values`` has field, site and lengths (a map by measure). Limits are looked for in each source and, with a null site, in
+    each whole field.
     """
-    lengths = values.select("field", "site", F.explode(F.map_from_arrays(*_arrays(measures(F.col("text"))))).alias("measure", "length"))
+    lengths = values.select("field", "site", F.explode("lengths").alias("measure", "length"))
     counted = lengths.groupBy("field", "site", "measure", "length").agg(F.count("*").alias("n"))
     counted = counted.select("field", "measure", "length", "n", F.explode(F.array(F.col("site"), F.lit(None))).alias("site"))
     counted = counted.groupBy("field", "site", "measure", "length").agg(F.sum("n").alias("n"))
@@ -59,6 +60,11 @@ def hidden_limits(values: DataFrame) -> DataFrame:
     )
 
 
+def with_lengths(values: DataFrame) -> DataFrame:
+    """Adds lengths: the length of text by measure."""
+    return values.withColumn("lengths", F.map_from_arrays(*_arrays(measures(F.col("text")))))
+
+
 def _arrays(columns: dict[str, Column]) -> tuple[Column, Column]:
     return F.array(*[F.lit(name) for name in columns]), F.array(*columns.values())
 
@@ -90,7 +96,7 @@ def _endings(values: DataFrame) -> DataFrame:
     )
     word = lambda text: F.lower(F.regexp_replace(text, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
     return values.select(
-        "field", "row_key", "row_version", "site", "text", "v", verdict.alias("verdict"), listed.alias("listed"),
+        "field", "row_key", "row_version", "site", "lengths", "v", verdict.alias("verdict"), listed.alias("listed"),
         word(F.regexp_extract(part, r"(\S+)$", 1)).alias("last_word"), F.regexp_extract(part, r"^(\S+\s+\S+)", 1).alias("opening"),
     )
 
@@ -120,7 +126,7 @@ def cut_values(values: DataFrame) -> DataFrame:
     value has the length of a hidden limit, or is null. No rows give no rows.
     """
     values = values.select("field", "row_key", "row_version", "site", "text").where("text IS NOT NULL").distinct()
-    ended = cut_lineage(_endings(values))
+    ended = cut_lineage(_endings(with_lengths(values)))
     limits = hidden_limits(ended)
     of_field = limits.where("site IS NULL").groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("field_limits"))
     of_site = limits.where("site IS NOT NULL").groupBy("field", "site").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("site_limits"))
@@ -132,10 +138,9 @@ def cut_values(values: DataFrame) -> DataFrame:
         .select("last_word", F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("goes_on", F.lit(0)).alias("goes_on"), F.coalesce("begins_word", F.lit(False)).alias("begins_word"))
     )
     told = (
-        ended.join(F.broadcast(of_field), "field", "left").join(of_site, ["field", "site"], "left")
+        ended.drop("v").join(F.broadcast(of_field), "field", "left").join(of_site, ["field", "site"], "left")
     )  # one row for each of the few fields, so a broadcast
-    lengths = F.map_from_arrays(*_arrays(measures(F.col("text"))))
-    hit = lambda limits_: F.filter(F.map_keys(lengths), lambda m: F.coalesce(F.element_at(lengths, m) == F.try_element_at(F.col(limits_), m), F.lit(False)))
+    hit = lambda limits_: F.filter(F.map_keys("lengths"), lambda m: F.coalesce(F.element_at("lengths", m) == F.try_element_at(F.col(limits_), m), F.lit(False)))
     told = told.withColumn("limit_measure", F.coalesce(F.get(hit("site_limits"), F.lit(0)), F.get(hit("field_limits"), F.lit(0))))
     sure = told.where("verdict")
     phrases = told.where("verdict IS NULL").join(facts, "last_word", "left").join(openings, "opening", "left")
@@ -184,7 +189,7 @@ def p6_rates(spark: SparkSession, root: str) -> DataFrame:
 
 def p6_limits(spark: SparkSession, root: str) -> DataFrame:
     """The hidden limits of fields and sources, by measure."""
-    return hidden_limits(sourced_values(spark, root).where("trim(text) <> ''"))
+    return hidden_limits(with_lengths(sourced_values(spark, root).where("trim(text) <> ''")))
 
 
 QUERIES = {"p6_found": p6_found, "p6_rates": p6_rates, "p6_limits": p6_limits}
