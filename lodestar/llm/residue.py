@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm.frames import BULLET, FEATURES, FRAME_SENTENCE, HEADINGS, STOPS, line_features, site_of
-from lodestar.runtime import cut_lineage, parallelism, table
+from lodestar.runtime import cut_lineage, parallelism, spread, table
 
 #: Longest line, in words, that can be a message of its own; longer lines are running text.
 MESSAGE_WORDS = 24
@@ -175,7 +175,7 @@ def mine_templates(lines: DataFrame) -> DataFrame:
     counted = counted.withColumn("leaf", leaf)
     parts = counted.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_LINES).alias("parts")).where("parts > 1")
     counted = counted.join(parts, "leaf", "left").withColumn("part", F.pmod(F.xxhash64("masked"), F.coalesce("parts", F.lit(1))))
-    return counted.select("leaf", "part", "masked", "n").groupBy("leaf", "part").applyInPandas(_leaf, "masked string, template string, n long, message boolean")
+    return spread(counted.select("leaf", "part", "masked", "n"), "leaf", "part").groupBy("leaf", "part").applyInPandas(_leaf, "masked string, template string, n long, message boolean")
 
 
 def spoilt_values(pages: DataFrame) -> DataFrame:
