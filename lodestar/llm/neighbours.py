@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from lodestar.runtime import cut_lineage, table
+from lodestar.runtime import cut_lineage, spread, table
 
 #: Fitted codebooks read at most about SAMPLE vectors of a collection, chosen by hash.
 SAMPLE = 20_000
@@ -252,7 +252,7 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     cells = spark.createDataFrame(
         [(s, int(c), int(p[0][c]), int(p[1][c])) for s, p in plans.items() for c in np.flatnonzero(sizes[s])], "space string, cell int, first int, pieces int"
     )
-    sent = cut_lineage(entries.select("space", "class_id", "unit").mapInArrow(_send(books, sizes, plans, candidates), _SENT))
+    sent = cut_lineage(spread(entries.select("space", "class_id", "unit"), "class_id").mapInArrow(_send(books, sizes, plans, candidates), _SENT))
     splits = sent.groupBy("space", "block").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("splits"))
     sent = sent.join(F.broadcast(splits), ["space", "block"]).withColumn("split", F.pmod(F.xxhash64("class_id"), F.col("splits")).cast("int"))
     placed = (
@@ -263,9 +263,9 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     )
     at = ["space", "block", "split"]
     ranked = (
-        sent.select(*at, "class_id", "unit", "cells")
+        spread(sent.select(*at, "class_id", "unit", "cells"), *at)
         .groupBy(*at)
-        .cogroup(placed.select(*at, "cell", "key_no", "keys", "unit").groupBy(*at))
+        .cogroup(spread(placed.select(*at, "cell", "key_no", "keys", "unit"), *at).groupBy(*at))
         .applyInArrow(_rerank(k + 1), "space string, class_id string, cosine6 int, keys array<string>")
     )
     order = [F.desc("cosine6"), F.col("no").asc_nulls_first(), F.col("neighbour")]
