@@ -22,10 +22,10 @@ from lodestar.runtime import parallelism, table
 # Abbreviations after which a sentence goes on whatever follows, and those that may also end one.
 GO_ON = (
     "dr mr mrs ms prof st sr sra dra srta hr fr m mm mme mlle me e.g i.e cf vs approx no nos fig vol p pp pg ed eds nr art pág págs "
-    "p.ex p.ej c.-à-d z.b d.h u.a ca bzw usf vgl abb bd т.е т.н см рис стр ул гл π.χ δηλ σελ κ. αρ д-р д डॉ श्री د ดร น.ส ม.ล gen col capt lt rev hon sen rep gov"
+    "p.ex p.ej c.-à-d z.b d.h u.a ca bzw usf vgl abb bd т.е т.н см рис стр ул гл π.χ δηλ σελ κ. αρ д-р д डॉ श्री د ดร น.ส ม.ล gen col capt lt rev hon sen rep gov ee"
 ).split()
 MAY_END = (
-    "etc inc ltd co corp bros jr u.s u.k e.u a.m p.m jan feb mar apr jun jul aug sep sept oct nov dec usw usf ee uu ee.uu "
+    "etc inc ltd co corp bros jr u.s u.k e.u a.m p.m jan feb mar apr jun jul aug sep sept oct nov dec usw usf uu ee.uu "
     "т.д т.п др г мес руб тыс млн коп κ.ά κ.λπ al bibl tel ext dept est approx.no min max avg"
 ).split()
 GERMAN_MONTHS = "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split()
