@@ -26,9 +26,11 @@ from lodestar.runtime import cut_lineage, spread, table
 #: Fitted codebooks read at most about SAMPLE vectors of a collection, chosen by hash.
 SAMPLE = 20_000
 #: Entries that a walk gathers before it stops: the knob between time and recall.
-CANDIDATES = 8_000
-BLOCK_ENTRIES = 8_000
-BLOCK_QUERIES = 16_000
+CANDIDATES = 10_000
+BLOCK_ENTRIES = 32_000
+BLOCK_QUERIES = 8_000
+#: Centroids of a half at most; fewer for small collections.
+CENTROIDS = 64
 _NONE = np.iinfo(np.int64).min
 
 
@@ -70,9 +72,9 @@ def _fit(k: int, steps: int = 12):
 
 
 def fit_codebooks(entries: DataFrame, counts: dict[str, int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Two codebooks for each space, from a sample of about ``SAMPLE`` vectors; at most 2 x 128 centroids come back."""
+    """Two codebooks for each space, from a sample of about ``SAMPLE`` vectors; at most 2 x CENTROIDS of them come back."""
     rate = F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, min(1.0, SAMPLE / n) * 1_000_000)])
-    k = {s: int(min(128, max(2, round(math.sqrt(n) / 2)))) for s, n in counts.items()}
+    k = {s: int(min(CENTROIDS, max(2, round(math.sqrt(n) / 2)))) for s, n in counts.items()}
     middle = F.floor(F.size("unit") / 2).cast("int")
     sample = entries.where(F.pmod(F.xxhash64("class_id"), F.lit(1_000_000)) < rate[F.col("space")])
     halves = sample.select(
@@ -170,10 +172,11 @@ def _send(books: dict, sizes: dict, plans: dict, enough: int):
                 first, pieces, _ = plans[s]
                 a, b = _distances(_matrix(part.column("unit")), books[s])
                 at, blocks, cells = [], [], []
+                starts, spans = first.tolist(), pieces.tolist()
                 for q in range(len(own)):
                     goes: dict[int, list[int]] = {}
                     for cell in walk(a[q], b[q], counts[s], enough):
-                        for block in range(first[cell], first[cell] + pieces[cell]):
+                        for block in range(starts[cell], starts[cell] + spans[cell]):
                             goes.setdefault(block, []).append(cell)
                     at += [q] * len(goes)
                     blocks += goes.keys()
@@ -189,7 +192,7 @@ def _send(books: dict, sizes: dict, plans: dict, enough: int):
 def _rerank(k: int):
     def rerank(queries: pa.Table, entries: pa.Table) -> pa.Table:
         """The k best entries of one block for each query, among the cells of its walk, by cosine to 6 places and key."""
-        schema = pa.schema([("space", pa.string()), ("class_id", pa.string()), ("cosine6", pa.int32()), ("keys", pa.list_(pa.string()))])
+        schema = pa.schema([("space", pa.string()), ("class_id", pa.string()), ("cosines", pa.list_(pa.int32())), ("keys", pa.list_(pa.list_(pa.string())))])
         if not queries.num_rows or not entries.num_rows:
             return schema.empty_table()
         order = pd.DataFrame({"n": entries["key_no"].to_pandas(), "k": [x[0] for x in entries["keys"].to_pylist()]}).sort_values(["n", "k"]).index.to_numpy()
@@ -210,13 +213,14 @@ def _rerank(k: int):
                 marks = np.rint(q[some] @ e[inside].T * 1e6).astype(np.int64) * 2**32 - inside
                 both = np.concatenate([best[some], marks], axis=1)
                 best[some] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
-        who, col = np.nonzero(best != _NONE)
-        marks = best[who, col]
+        counts = (best != _NONE).sum(1)
+        marks = best[best != _NONE]
         place = (-marks) % 2**32
-        return pa.Table.from_arrays(
-            [queries["space"].take(pa.array(who)), queries["class_id"].take(pa.array(who)), pa.array(((marks + place) // 2**32).astype(np.int32)), entries["keys"].take(pa.array(place))],
-            schema=schema,
-        )
+        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+        cosines = pa.ListArray.from_arrays(offsets, pa.array(((marks + place) // 2**32).astype(np.int32)))
+        keys = entries["keys"].combine_chunks().take(pa.array(place))
+        keys = pa.concat_arrays(keys.chunks) if isinstance(keys, pa.ChunkedArray) else keys
+        return pa.Table.from_arrays([queries["space"], queries["class_id"], cosines, pa.ListArray.from_arrays(offsets, keys)], schema=schema)
 
     return rerank
 
@@ -245,7 +249,7 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     books = fit_codebooks(entries, counts)
     placed = entries.mapInArrow(_assign(books), T.StructType([*entries.schema.fields, T.StructField("cell", T.IntegerType())]))
     sizes = {s: np.zeros(len(a) * len(b), np.int64) for s, (a, b) in books.items()}
-    for r in placed.groupBy("space", "cell").count().collect():  # at most 128 x 128 cells a space
+    for r in placed.groupBy("space", "cell").count().collect():  # at most CENTROIDS x CENTROIDS cells a space
         sizes[r["space"]][r["cell"]] = r["count"]
     plans = {s: plan_blocks(x) for s, x in sizes.items()}
     spark = items.sparkSession
@@ -266,20 +270,22 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
         spread(sent.select(*at, "class_id", "unit", "cells"), *at)
         .groupBy(*at)
         .cogroup(spread(placed.select(*at, "cell", "key_no", "keys", "unit"), *at).groupBy(*at))
-        .applyInArrow(_rerank(k + 1), "space string, class_id string, cosine6 int, keys array<string>")
+        .applyInArrow(_rerank(k + 1), "space string, class_id string, cosines array<int>, keys array<array<string>>")
     )
-    order = [F.desc("cosine6"), F.col("no").asc_nulls_first(), F.col("neighbour")]
     numbered = items.where("key_no IS NOT NULL").limit(1).count() > 0
-    no = F.expr("try_cast(neighbour AS BIGINT)") if numbered else F.lit(None).cast("bigint")
-    best = ranked.select("space", "class_id", "cosine6", F.explode("keys").alias("neighbour")).withColumn("no", no)
-    best = best.withColumn("place", F.row_number().over(W.partitionBy("space", "class_id").orderBy(*order))).where(F.col("place") <= k + 1)
-    lists = best.groupBy("space", "class_id").agg(F.array_sort(F.collect_list(F.struct("place", "neighbour", "cosine6"))).alias("list"))
+    no = (lambda key: key.try_cast("bigint")) if numbered else (lambda key: F.lit(None).cast("bigint"))
+    # Structs sort by their fields in turn: least negative cosine first, then the smaller key.
+    one = lambda x: F.transform(x["keys"], lambda key: F.struct((-x["cosines"]).alias("order"), no(key).alias("no"), key.alias("neighbour")))
+    near = F.flatten(F.transform(F.arrays_zip("cosines", "keys"), one))
+    best = ranked.select("space", "class_id", near.alias("near"))
+    # As many lists as blocks a walk can touch: bounded, as its entries are.
+    lists = best.groupBy("space", "class_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("list"))
     own = F.slice(F.filter("list", lambda x: x["neighbour"] != F.col("key")), 1, k)
     return (
         items.select("space", "key", "class_id")
         .join(lists, ["space", "class_id"])
         .select("space", "key", F.explode(own).alias("x"))
-        .select("space", "key", F.col("x.neighbour").alias("neighbour"), F.col("x.cosine6").alias("cosine6"))
+        .select("space", "key", F.col("x.neighbour").alias("neighbour"), (-F.col("x.order")).alias("cosine6"))
     )
 
 
