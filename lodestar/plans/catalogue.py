@@ -42,6 +42,14 @@ def html_extract(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("slug", "collected_at", X.html_title(F.col("html")).alias("title"), X.html_description(F.col("html")).alias("description"), F.length(X.html_text(F.col("html"))).alias("text_length"))
 
 
+def html_dom(spark: SparkSession, root: str) -> DataFrame:
+    """Hash of the visible text of pages put together from their parts: scripts and site frames are left out."""
+    part = lambda c: F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "[<>&]", "")), r"(?U)^\s+|\s+$", "")
+    html = F.concat(F.lit("<nav>Home</nav><script>var x = 1;</script><p>"), part("raw_text"), F.lit("</p><footer>"), F.coalesce("vendor", F.lit("")), F.lit("</footer>"))
+    rows = table(spark, root, "raw_tools").distinct().select("slug", "collected_at", X.html_dom_text(html, 1_000_000).alias("text"))
+    return rows.select("slug", "collected_at", F.length("text").alias("text_length"), F.sha2("text", 256).alias("text_hash"))
+
+
 def thin_content(spark: SparkSession, root: str) -> DataFrame:
     """Intros with fewer than 200 characters on one line, and all of them cut to 1,600."""
     rows = table(spark, root, "page_seo").distinct()
@@ -182,6 +190,7 @@ SELECT l.slug, l.collected_at, l.content_hash FROM l JOIN f ON l.slug = f.slug W
     "html_extract": (html_extract, f"""
 WITH p AS (SELECT DISTINCT * FROM raw_tools), q AS (SELECT slug, collected_at, regexp_replace(coalesce(raw_title, ''), '[<>"]', '', 'g') AS t, regexp_replace(coalesce(raw_meta_desc, ''), '[<>"]', '', 'g') AS d, regexp_replace(coalesce(raw_text, ''), '[<>"]', '', 'g') AS x FROM p)
 SELECT slug, collected_at, trim(t) AS title, d AS description, CAST(length(left({_CLEAN.format("t || '  ' || x")}, 2000)) AS INTEGER) AS text_length FROM q"""),
+    "html_dom": (html_dom, None),
     "thin_content": (thin_content, f"SELECT id, length(b) < 200 AS thin, sha256(rtrim(left(b, 1600))) AS cut_hash FROM (SELECT id, {_CLEAN.format('intro_md')} AS b FROM (SELECT DISTINCT * FROM page_seo))"),
     "seo_fallback": (seo_fallback, f"""WITH {_PAGES}, {_RICH}, r AS (SELECT rich.*, pages.name FROM rich JOIN pages USING (slug)),
 c AS (SELECT *, {_CLEAN.format('seo_title')} AS ct, {_CLEAN.format('name')} AS cn, {_CLEAN.format('short_desc')} AS cd, {_CLEAN.format('seo_description')} AS cs FROM r)
@@ -233,3 +242,6 @@ _HEALTH = f"""WITH {_RICH}, t AS (SELECT DISTINCT * FROM tools), found AS (
   UNION ALL SELECT slug, 'no vector', '' FROM rich WHERE slug NOT IN (SELECT slug FROM tool_embeddings WHERE slug IS NOT NULL))"""
 ENTRIES["health_sections"] = (health_sections, _HEALTH + " SELECT * FROM found WHERE section <> 'missing' OR detail <> ''")
 ENTRIES["health_totals"] = (health_totals, _HEALTH + " SELECT section, count(*) AS problems FROM found WHERE section <> 'missing' OR detail <> '' GROUP BY section")
+ENTRIES["html_dom"] = (html_dom, r"""
+SELECT slug, collected_at, CAST(length(t) AS INTEGER) AS text_length, sha256(t) AS text_hash
+FROM (SELECT slug, collected_at, regexp_replace(trim(regexp_replace(coalesce(raw_text, ''), '[<>&]', '', 'g')), '^[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+|[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+$', '', 'g') AS t FROM (SELECT DISTINCT * FROM raw_tools))""")

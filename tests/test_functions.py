@@ -75,3 +75,10 @@ def test_known_first(spark):
     allowed = F.array(F.lit("a"), F.lit("b"), F.lit("c"))
     assert one(spark, V.known_first(F.array(F.lit("c"), F.lit("x"), F.lit("c"), F.lit("a"), F.lit("b")), allowed, 2)) == ["c", "a"]
     assert one(spark, V.known_first(F.lit(None).cast("array<string>"), allowed, 2)) == []
+
+
+def test_html_dom_text(spark):
+    html = F.lit("<html><nav>Home <b>x</b></nav><script>var a = '<p>';</script><p> A &amp; B </p><div>C<style>p{}</style></div><footer>f</footer></html>")
+    assert one(spark, X.html_dom_text(html)) == "A & B C"
+    assert one(spark, X.html_dom_text(F.lit(None).cast("string"))) is None
+    assert one(spark, X.html_dom_text(F.lit("plain <b>text"))) == "plain text"
