@@ -2,7 +2,9 @@
 
 Both halves of the (unit) vectors are quantised with codebooks of their own, fitted on a bounded sample; a pair of
 centroids is a cell. Every vector is in the index. A query walks the cells in the order of summed distance, taken from a
-heap, until the cells hold enough entries, and those entries are reranked by exact cosine. Cells lie in blocks of bounded
+heap, until the cells hold enough entries, and those entries are reranked by exact cosine. How many are enough is measured
+on each space: a few hundred of its vectors are compared with all others, and walks are as long as TARGET of the neighbours
+of these need. Cells lie in blocks of bounded
 size; a query goes once to each block that holds cells of its walk, and a block is reranked with matrix products. Vectors
 that are equal are one entry and one query with the k + 1 smallest keys of all, so masses of copies never meet each other.
 """
@@ -25,11 +27,13 @@ from lodestar.runtime import cut_lineage, spread, table
 
 #: Fitted codebooks read at most about SAMPLE vectors of a collection, chosen by hash.
 SAMPLE = 20_000
-#: Entries that a walk gathers before it stops: the knob between time and recall.
+#: Entries that a walk gathers at least; spaces that are not larger are searched exactly.
 CANDIDATES = 10_000
+#: Vectors of a larger space that are compared with all others, and the share of their neighbours that walks have to reach.
+PROBES, TARGET = 400, 0.95
 BLOCK_ENTRIES = 32_000
 BLOCK_QUERIES = 8_000
-#: Centroids of a half at most; fewer for small collections.
+#: Centroids of a half of a space with 4 x CENTROIDS^2 vectors; smaller and larger spaces have fewer and more (centroids_of).
 CENTROIDS = 64
 _NONE = np.iinfo(np.int64).min
 
@@ -71,10 +75,16 @@ def _fit(k: int, steps: int = 12):
     return fit
 
 
+def centroids_of(n: int) -> int:
+    """Centroids of a half for ``n`` vectors: 64 at 16,384, 97 at 200,000, 127 at a million."""
+    full = 4 * CENTROIDS**2
+    return max(2, round(math.sqrt(n) / 2 if n <= full else CENTROIDS * (n / full) ** (1 / 6)))
+
+
 def fit_codebooks(entries: DataFrame, counts: dict[str, int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Two codebooks for each space, from a sample of about ``SAMPLE`` vectors; at most 2 x CENTROIDS of them come back."""
+    """Two codebooks for each space, from a sample of about ``SAMPLE`` vectors; 2 x centroids_of(n) of them come back."""
     rate = F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, min(1.0, SAMPLE / n) * 1_000_000)])
-    k = {s: int(min(CENTROIDS, max(2, round(math.sqrt(n) / 2)))) for s, n in counts.items()}
+    k = {s: centroids_of(n) for s, n in counts.items()}
     middle = F.floor(F.size("unit") / 2).cast("int")
     sample = entries.where(F.pmod(F.xxhash64("class_id"), F.lit(1_000_000)) < rate[F.col("space")])
     halves = sample.select(
@@ -136,6 +146,63 @@ def walk(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: int)
     return cells
 
 
+def _nearest_cells(probes: dict[str, tuple[list[str], np.ndarray]], k: int):
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k nearest entries of one partition for each probe: their cosines and cells."""
+        best = {s: (np.full((len(ids), k), -2.0), np.full((len(ids), k), -1)) for s, (ids, _) in probes.items()}
+        for batch in batches:
+            spaces = np.array(batch.column("space").to_pylist(), dtype=object)
+            for s in set(spaces) & set(probes):
+                part = batch.take(pa.array(np.flatnonzero(spaces == s)))
+                ids, x = probes[s]
+                cosines = x @ _matrix(part.column("unit")).T
+                place = {c: i for i, c in enumerate(part.column("class_id").to_pylist())}
+                own = [(i, place[c]) for i, c in enumerate(ids) if c in place]
+                if own:
+                    cosines[tuple(zip(*own))] = -2.0
+                cosines = np.concatenate([best[s][0], cosines], axis=1)
+                cells = np.concatenate([best[s][1], np.broadcast_to(part.column("cell").to_numpy(), (len(ids), part.num_rows))], axis=1)
+                top = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+                best[s] = np.take_along_axis(cosines, top, 1), np.take_along_axis(cells, top, 1)
+        for s, (cosines, cells) in best.items():
+            probe = np.repeat(np.arange(len(cosines), dtype=np.int32), k)
+            found = cells.ravel() >= 0
+            columns = [probe[found], cosines.ravel()[found], cells.ravel()[found].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array([s] * int(found.sum()), pa.string()), *map(pa.array, columns)], names=["space", "probe", "cosine", "cell"])
+
+    return nearest
+
+
+def enough_entries(placed: DataFrame, books: dict, sizes: dict, counts: dict[str, int], k: int, least: int) -> dict[str, int]:
+    """Entries that the walks of each space have to gather: ``least``, or more where TARGET of the neighbours need more.
+
+    About PROBES vectors of each space with more than ``least`` entries, chosen by hash, are compared with all entries of it;
+    the place of their k nearest in their walks is known from the sizes of the cells.
+    """
+    large = {s: n for s, n in counts.items() if n > least}
+    enough = dict.fromkeys(counts, least)
+    if not large:
+        return enough
+    rate = F.create_map(*[F.lit(x) for s, n in large.items() for x in (s, min(1.0, PROBES / n) * 1_000_000)])
+    chosen = placed.where(F.pmod(F.xxhash64("class_id", F.lit("probe")), F.lit(1_000_000)) < rate[F.col("space")]).select("space", "class_id", "unit")
+    probes: dict[str, tuple[list[str], np.ndarray]] = {}
+    for s, own in chosen.toPandas().sort_values("class_id").groupby("space"):
+        probes[s] = own["class_id"].tolist(), np.stack(own["unit"].to_numpy())
+    near = placed.select("space", "class_id", "unit", "cell").mapInArrow(_nearest_cells(probes, k), "space string, probe int, cosine double, cell int")
+    place = F.row_number().over(W.partitionBy("space", "probe").orderBy(F.desc("cosine"), "cell"))
+    near = near.withColumn("place", place).where(F.col("place") <= k).toPandas()  # at most PROBES x k rows a space
+    for s, (_, x) in probes.items():
+        a, b = _distances(x, books[s])
+        needs = []
+        for probe, cells in near[near["space"] == s].groupby("probe")["cell"]:
+            order = np.argsort((a[probe][:, None] + b[probe][None]).ravel(), kind="stable")
+            before = np.zeros(len(order), np.int64)
+            before[order] = np.cumsum(sizes[s][order]) - sizes[s][order]
+            needs.append(before[cells.to_numpy()])
+        enough[s] = max(least, int(np.quantile(np.concatenate(needs), TARGET, method="higher")) + 1)
+    return enough
+
+
 def plan_blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First block and number of blocks of each cell, and the entries of each block.
 
@@ -161,7 +228,7 @@ def plan_blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _SENT = T.StructType([T.StructField("space", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("class_id", T.StringType()), T.StructField("unit", T.ArrayType(T.DoubleType())), T.StructField("cells", T.ArrayType(T.IntegerType()))])
 
 
-def _send(books: dict, sizes: dict, plans: dict, enough: int):
+def _send(books: dict, sizes: dict, plans: dict, enough: dict[str, int]):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = {s: x.tolist() for s, x in sizes.items()}
         for batch in batches:
@@ -175,7 +242,7 @@ def _send(books: dict, sizes: dict, plans: dict, enough: int):
                 starts, spans = first.tolist(), pieces.tolist()
                 for q in range(len(own)):
                     goes: dict[int, list[int]] = {}
-                    for cell in walk(a[q], b[q], counts[s], enough):
+                    for cell in walk(a[q], b[q], counts[s], enough[s]):
                         for block in range(starts[cell], starts[cell] + spans[cell]):
                             goes.setdefault(block, []).append(cell)
                     at += [q] * len(goes)
@@ -231,7 +298,8 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     ``items`` has space, key (strings), key_no (a number that goes before key in the order, or null) and unit (array<double>
     of length 1, equally long in a space). Null keys, spaces and vectors do not count; repeated rows count once; of several
     vectors under one key the smallest counts. Spaces with fewer than k + 1 items give all others. Cosines are compared
-    after rounding to 6 places; cosine6 is that number in millionths. No rows give no rows.
+    after rounding to 6 places; cosine6 is that number in millionths. No rows give no rows. A query meets ``candidates``
+    others at least, and as many as ``enough_entries`` finds necessary.
     """
     items = items.dropna(subset=["space", "key", "unit"]).groupBy("space", "key").agg(F.min("key_no").alias("key_no"), F.min("unit").alias("unit"))
     items = cut_lineage(items.withColumn("class_id", F.md5(F.concat_ws(",", F.col("unit").cast("array<string>")))))
@@ -249,14 +317,15 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     books = fit_codebooks(entries, counts)
     placed = entries.mapInArrow(_assign(books), T.StructType([*entries.schema.fields, T.StructField("cell", T.IntegerType())]))
     sizes = {s: np.zeros(len(a) * len(b), np.int64) for s, (a, b) in books.items()}
-    for r in placed.groupBy("space", "cell").count().collect():  # at most CENTROIDS x CENTROIDS cells a space
+    for r in placed.groupBy("space", "cell").count().collect():  # at most the square of centroids_of(n) a space
         sizes[r["space"]][r["cell"]] = r["count"]
     plans = {s: plan_blocks(x) for s, x in sizes.items()}
+    enough = enough_entries(placed, books, sizes, counts, k, candidates)
     spark = items.sparkSession
     cells = spark.createDataFrame(
         [(s, int(c), int(p[0][c]), int(p[1][c])) for s, p in plans.items() for c in np.flatnonzero(sizes[s])], "space string, cell int, first int, pieces int"
     )
-    sent = cut_lineage(spread(entries.select("space", "class_id", "unit"), "class_id").mapInArrow(_send(books, sizes, plans, candidates), _SENT))
+    sent = cut_lineage(spread(entries.select("space", "class_id", "unit"), "class_id").mapInArrow(_send(books, sizes, plans, enough), _SENT))
     splits = sent.groupBy("space", "block").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("splits"))
     sent = sent.join(F.broadcast(splits), ["space", "block"]).withColumn("split", F.pmod(F.xxhash64("class_id"), F.col("splits")).cast("int"))
     placed = (
@@ -278,7 +347,7 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     one = lambda x: F.transform(x["keys"], lambda key: F.struct((-x["cosines"]).alias("order"), no(key).alias("no"), key.alias("neighbour")))
     near = F.flatten(F.transform(F.arrays_zip("cosines", "keys"), one))
     best = ranked.select("space", "class_id", near.alias("near"))
-    # As many lists as blocks a walk can touch: bounded, as its entries are.
+    # As many lists as blocks a walk can touch, each of k + 1 entries.
     lists = best.groupBy("space", "class_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("list"))
     own = F.slice(F.filter("list", lambda x: x["neighbour"] != F.col("key")), 1, k)
     return (

@@ -116,6 +116,17 @@ def test_neighbours_recall(spark, monkeypatch):
     assert np.mean([len(found[k] & set(wanted[k])) / 10 for k in keys]) >= 0.9
 
 
+def test_walks_grow_until_independent_vectors_are_found(spark):
+    x = np.random.default_rng(14).standard_normal((1500, 16))
+    keys = [f"k{i:04d}" for i in range(1500)]
+    found, wanted = _lists(N.similar_vectors(_items(spark, x.tolist(), keys), 10, candidates=60)), _brute(x, keys, 10)
+    assert np.mean([len(found[k] & set(wanted[k])) / 10 for k in keys]) >= 0.9
+
+
+def test_centroids_grow_with_a_space():
+    assert [N.centroids_of(n) for n in (3, 400, 16_384, 200_000, 1_000_000)] == [2, 10, 64, 97, 127]
+
+
 def test_walk_takes_cells_by_summed_distance():
     first, second = np.array([0.3, 0.0, 0.9]), np.array([0.5, 0.1])
     sizes = np.array([1, 1, 1, 0, 1, 1])
