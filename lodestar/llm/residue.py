@@ -1,17 +1,19 @@
 """Problem 3: template residue, filler and error pages among page texts and descriptions.
 
-Method: a fixed-depth prefix tree. Short lines outside the frame of a page, with numbers and the names of tool and site
+Method: a fixed-depth prefix tree. Short lines outside the frame of every page, with numbers and the names of tool and site
 masked, go down a tree by their number of words and their first words; lines of one leaf that agree in enough places share
 a template. Each template is classified once (error, refusal, script notice or neither) and its verdict goes to all lines
-it covers; a page whose lines have such a verdict and that has no article is spoilt. Unfilled slots and filler are looked
-for in every line of every record.
+it covers; a page whose lines have such a verdict and that has no article is spoilt. A short sentence is article text where
+its template is no message. Unfilled slots and filler are looked for in every line of every record.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,13 +87,17 @@ def _is_prose(line: str) -> bool:
 
 
 _MARKED = {FEATURES.index("marked"), FEATURES.index("is_name")}
-_LINE = "slug string, collected_at string, field string, masked string, words int, residue boolean"
+_LINE = "slug string, collected_at string, field string, masked string, words int, n long, open boolean, sentence boolean, residue boolean"
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What can make a record a case: its residue (one row), or, of records without an article, the short lines outside the frame."""
+    """The short lines outside the frame of every record, and a row for each record with residue.
+
+    Lines of records that are open, with neither residue nor an article by what their lines look like, keep the record's key;
+    those of all others are only counted. ``sentence``: an article line unless its template is a message.
+    """
     for batch in batches:
-        rows = []
+        rows, counted = [], Counter()
         for slug, at, text, about, name, url, source in batch.itertuples(index=False, name=None):
             site, name = site_of(url, source), (name or "").strip()
             for field, value in (("raw_text", text), ("raw_meta_desc", about)):
@@ -99,27 +105,34 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if not lines:
                     continue
                 key = (slug, at, field)
-                if any(has_slot(x) or is_filler(x) for x in lines):
-                    rows.append((*key, None, 0, True))
-                    continue
-                if field == "raw_text" and any(_is_prose(x) for x in lines):
-                    continue
+                residue = any(has_slot(x) or is_filler(x) for x in lines)
+                if residue:
+                    rows.append((*key, None, 0, 1, False, False, True))
+                article = field == "raw_text" and any(_is_prose(x) for x in lines)
                 features = line_features(lines, name, site) if field == "raw_text" else [None] * len(lines)
-                article, short = False, []
+                short = []
                 for line, x in zip(lines, features):
                     if x and any(x[i] for i in _MARKED) or line.lower() in HEADINGS:
                         continue
                     masked = mask(line, name, site)
                     words = len(masked.split())
-                    said = field == "raw_text" and (words > MESSAGE_WORDS or bool(BULLET.match(line)) or bool(STOPS.search(line)) and not MESSAGE.search(masked) and words > 5 or TELLS.search(masked) is not None)
-                    article |= said
-                    if article:
-                        break
+                    article |= field == "raw_text" and (words > MESSAGE_WORDS or bool(BULLET.match(line)) or TELLS.search(masked) is not None)
                     if words <= MESSAGE_WORDS:
-                        short.append((*key, masked, words, False))
-                if not article:
-                    rows += short
-        yield pd.DataFrame(rows, columns=["slug", "collected_at", "field", "masked", "words", "residue"])
+                        short.append((masked, words, field == "raw_text" and words > 5 and bool(STOPS.search(line))))
+                if residue or article:
+                    counted.update((masked, words) for masked, words, _ in short)
+                else:
+                    rows += [(*key, masked, words, 1, True, sentence, False) for masked, words, sentence in short]
+        rows += [(None, None, None, masked, words, n, False, False, False) for (masked, words), n in counted.items()]
+        yield pd.DataFrame(rows, columns=["slug", "collected_at", "field", "masked", "words", "n", "open", "sentence", "residue"])
+
+
+def short_lines(pages: DataFrame) -> DataFrame:
+    """What ``_read`` tells of the distinct pages: rows with masked, words and n, of open records with their key."""
+    columns = ["slug", "collected_at", "raw_text", "raw_meta_desc", "name", "website_url", "source_url"]
+    pages = pages.select(*columns).distinct()
+    pages = pages.repartition(max(parallelism(pages.sparkSession), 2 * pages.sparkSession.sparkContext.defaultParallelism))
+    return cut_lineage(pages.mapInPandas(_read, _LINE))
 
 
 def merge_lines(lines: list[tuple[str, int]]) -> list[tuple[str, int]]:
@@ -127,26 +140,29 @@ def merge_lines(lines: list[tuple[str, int]]) -> list[tuple[str, int]]:
 
     Places that differ become ``<*>``. Lines come with their counts, most frequent first; the result keeps their order.
     """
-    templates: list[list[str]] = []
-    at: list[int] = []
-    known: dict[tuple[str, ...], int] = {}
-    for line, _ in lines:
-        words = line.split()
-        found = known.get(tuple(words))
+    codes: dict[str, int] = {"<*>": 0}
+    coded = np.array([[codes.setdefault(w, len(codes)) for w in line.split()] for line, _ in lines], np.int64)
+    templates, held, at = np.zeros((16, coded.shape[1]), np.int64), 0, []
+    known: dict[tuple[int, ...], int] = {}
+    for words in coded:
+        found = known.get(key := tuple(words.tolist()))
         if found is None:
-            best, found = AGREE * len(words), -1
-            for i, template in enumerate(templates):
-                same = sum(a == b or a == "<*>" for a, b in zip(template, words))
-                if same >= best and (found < 0 or same > best):
-                    best, found = same, i
-            if found < 0:
-                found = len(templates)
-                templates.append(words)
+            own = templates[:held]
+            same = ((own == words) | (own == 0)).sum(1)
+            found = int(same.argmax()) if held else -1
+            if found < 0 or same[found] < AGREE * len(words):
+                if held == len(templates):
+                    templates = np.vstack([templates, np.zeros_like(templates)])
+                found = held
+                templates[found] = words
+                held += 1
             else:
-                templates[found] = [a if a == b else "<*>" for a, b in zip(templates[found], words)]
-            known[tuple(words)] = found
+                templates[found] = np.where(templates[found] == words, words, 0)
+            known[key] = found
         at.append(found)
-    return [(" ".join(templates[i]), count) for i, (_, count) in zip(at, lines)]
+    said = list(codes)
+    texts = [" ".join(said[c] for c in template) for template in templates[:held].tolist()]
+    return [(texts[i], count) for i, (_, count) in zip(at, lines)]
 
 
 def is_message(line: str) -> bool:
@@ -165,11 +181,11 @@ def mine_templates(lines: DataFrame) -> DataFrame:
     """(masked, template, n, message): the template of every distinct short line, and whether the template is a message.
 
     A template is judged once, by its most frequent line.
-    ``lines`` has masked (string) and words (int). Lines are first counted, so that repeats travel once. A leaf with very
+    ``lines`` has masked (string), words (int) and n (long, how often). Lines are first counted, so that repeats travel once. A leaf with very
     many distinct lines is cut by hash, and each part finds its templates by itself; a line's template may then be less
     general, never missing. Null lines do not count; no lines give no rows.
     """
-    counted = lines.where("masked IS NOT NULL").groupBy("masked", "words").agg(F.count("*").alias("n"))
+    counted = lines.where("masked IS NOT NULL").groupBy("masked", "words").agg(F.sum("n").alias("n"))
     word = lambda i: F.get(F.split("masked", " "), F.lit(i))
     leaf = F.concat_ws(" ", F.col("words").cast("string"), *[F.when(word(i).rlike(r"[#<{\[]"), "<*>").otherwise(word(i)) for i in range(DEPTH)])
     counted = counted.withColumn("leaf", leaf)
@@ -184,14 +200,11 @@ def spoilt_values(pages: DataFrame) -> DataFrame:
     ``pages`` has slug, collected_at, raw_text, raw_meta_desc, name, website_url and source_url; other columns are not read.
     Null and blank values are no cases, repeated rows count once, texts are read whole. An empty table gives no rows.
     """
-    columns = ["slug", "collected_at", "raw_text", "raw_meta_desc", "name", "website_url", "source_url"]
-    pages = pages.select(*columns).distinct()
-    pages = pages.repartition(max(parallelism(pages.sparkSession), 2 * pages.sparkSession.sparkContext.defaultParallelism))
-    lines = cut_lineage(pages.mapInPandas(_read, _LINE))
-    messages = mine_templates(lines).where("message").select("masked", F.lit(True).alias("message"))
-    told = lines.join(messages, "masked", "left")
+    lines = short_lines(pages)
+    told = lines.where("open").join(mine_templates(lines).select("masked", "message"), "masked")
     key = ["slug", "collected_at", "field"]
-    return told.where("residue OR message").select(*key).distinct()
+    open_ = told.groupBy(*key).agg(F.bool_or("message").alias("message"), F.bool_or(F.col("sentence") & ~F.col("message")).alias("article"))
+    return open_.where("message AND NOT article").select(*key).unionByName(lines.where("residue").select(*key)).distinct()
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
@@ -200,9 +213,7 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
 
 def p3_templates(spark: SparkSession, root: str) -> DataFrame:
     """The message templates of all pages, with the number of lines each covers."""
-    columns = ["slug", "collected_at", "raw_text", "raw_meta_desc", "name", "website_url", "source_url"]
-    lines = table(spark, root, "raw_tools").select(*columns).distinct().mapInPandas(_read, _LINE)
-    lines = cut_lineage(lines)
+    lines = short_lines(table(spark, root, "raw_tools"))
     return mine_templates(lines).where("message").groupBy("template").agg(F.sum("n").alias("lines"))
 
 

@@ -115,6 +115,22 @@ def test_spoilt_values(spark):
     assert spoilt_values(pages.limit(0)).count() == 0
 
 
+def test_templates_count_the_lines_of_all_records(spark):
+    from lodestar.llm.residue import mine_templates, short_lines
+
+    article = "Baro sorts mail for small teams and it never loses a single letter of them."
+    texts = ["502 Bad Gateway", article + "\n502 Bad Gateway", "Try {{name}} today.\n502 Bad Gateway", "502 Bad Gateway\n- 4 seats included"]
+    pages = spark.createDataFrame([(str(i), "1", t, None, None, "Baro", None, None, 1, "x", "f") for i, t in enumerate(texts)], PAGE)
+    found = mine_templates(short_lines(pages)).where("message")
+    assert [(r["masked"], r["n"]) for r in found.collect()] == [("# bad gateway", 4)]
+
+
+def test_a_sentence_is_judged_by_its_template(spark):
+    texts = [f"Sorry, the page you want was {word}." for word in ("moved", "moved", "eaten")]
+    pages = spark.createDataFrame([(str(i), "1", t, None, None, "Baro", None, None, 1, "x", "f") for i, t in enumerate(texts)], PAGE)
+    assert sorted(r["slug"] for r in spoilt_values(pages).collect()) == ["0", "1", "2"]
+
+
 def _values(spark, texts, site="s"):
     return spark.createDataFrame([("f", str(i), "", site, t, 1) for i, t in enumerate(texts)], "field string, row_key string, row_version string, site string, text string, lengths int").drop("lengths")
 
