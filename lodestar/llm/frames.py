@@ -96,17 +96,17 @@ def line_features(lines: list[str], name: str, site: str) -> list[list[float]]:
     """One row of FEATURES for every (stripped, not blank) line of a page."""
     own, label = (name or "").strip(), site.split(".")[0]
     base = []
-    run, kind = 0, ""
+    run, kind = False, ""  # in a list of other tools, which goes on while its lines are of one kind
     for line in lines:
         lower = line.lower()
         crumbs = segments(line)
         title = lower in WIDGETS or bool(WIDGET_START.match(line))
         if title:
-            run, kind, in_run = 4, "", False
+            run, kind, in_run = True, "", False
         elif run:
             here = _kind(line, own) if lower not in NAVIGATION | LABELS | HEADINGS and not FRAME_SENTENCE.search(line) else ""
             in_run = bool(here) and (not kind or here == kind)
-            run, kind = (run - 1, here) if in_run else (0, "")
+            run, kind = in_run, here if in_run else ""
         else:
             in_run = False
         base.append({

@@ -41,11 +41,12 @@ _CHANGES = {"de": {"nav": ["Startseite", "Preise", "Hilfe", "Kontakt"], "top": [
             "es": {"nav": ["Inicio", "Precios", "Ayuda", "Contacto"], "top": ["Saltar al contenido", "Buscar"], "consent": ["Usamos cookies para medir visitas."], "button": ["Aceptar todo", "Rechazar"], "widget": ["Lo más visto", "Herramientas relacionadas"], "foot": ["Privacidad", "Condiciones", "Aviso legal"], "heading": ["Resumen", "Precios", "Límites"], "sentence": ["{name} ordena el correo de un equipo pequeño.", "El plan gratuito cubre tres proyectos."]}}
 LINES |= {language: LINES["fr"] | own for language, own in _CHANGES.items()}
 OTHERS = ["Balo", "Mirun Desk", "Tevak", "Sorel Hub", "Pinu Board", "Kadem"]
+MORE = ["Lirano", "Deska Flow", "Omuti", "Varel Sheet", "Pado", "Kinu Cast", "Seltor", "Rima Note", "Zovek"]
 
 
 def labelled_pages(pages: int = 600, seed: int = 11) -> list[tuple[str, str, list[tuple[str, int]]]]:
     """(name, site, [(line, 1 for frame or 0 for article)]) of ``pages`` invented pages."""
-    draw = random.Random(seed)
+    draw, lists = random.Random(seed), random.Random(seed + 1)  # lists have draws of their own: their length changes nothing else
     made = []
     for number in range(pages):
         own = LINES[("en", "en", "fr", "de", "es")[number % 5]]
@@ -59,10 +60,13 @@ def labelled_pages(pages: int = 600, seed: int = 11) -> list[tuple[str, str, lis
             add("consent", 1)
             add("button", 1, draw.randint(0, 3))
 
-        def widget(most: int) -> None:
+        def widget(most: int, longest: int = 0) -> None:
             add("widget", 1)
             kind = draw.randrange(3)
-            for other in draw.sample(OTHERS, draw.randint(2, most)):
+            others = draw.sample(OTHERS, draw.randint(2, most))
+            if longest:
+                others = lists.sample(OTHERS + MORE, lists.randint(1, longest))
+            for other in others:
                 rows.append(([other, f"{other} – page builder", own["sentence"][0].format(name=other)][kind], 1))
 
         early = draw.random() < 0.4
@@ -96,7 +100,7 @@ def labelled_pages(pages: int = 600, seed: int = 11) -> list[tuple[str, str, lis
                     widget(2)
                     add("item", 0, 2, "✓ {}")
         if draw.random() < 0.6:
-            widget(4)
+            widget(4, 15)
         for role, odds in (("insert", 0.4), ("subscribe", 0.5), ("legal", 0.6)):
             if draw.random() < odds:
                 add(role, 1)

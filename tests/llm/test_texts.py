@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.llm.boilerplate import frame_lines, frame_titles, train_tree
-from lodestar.llm.frames import line_features, site_of, title_has_frame
+from lodestar.llm.frames import FEATURES, line_features, site_of, title_has_frame
 from lodestar.llm.labelled_pages import labelled_pages
 from lodestar.llm.residue import has_slot, is_filler, is_message, mask, merge_lines, spoilt_values
 from lodestar.llm.sentences import sentence_offsets, split_sentences
@@ -75,6 +75,21 @@ def test_tree_on_held_out_pages(spark):
     assert right / total > 0.95
 
 
+def test_a_widget_list_goes_on_for_as_long_as_its_kind():
+    for others in ([f"Muvo{'abcdefghijkl'[i]}" for i in range(12)], [f"Muvo sorts the mail of shop {i}." for i in range(12)], [f"Muvo{'abcdefghijkl'[i]} – page builder" for i in range(12)]):
+        found = line_features(["Related tools", *others, "- 4 seats included", others[0]], "Baro", "tulobe.example")
+        assert [x[FEATURES.index("widget_run")] for x in found] == [0, *[1] * 12, 0, 0]
+
+
+def test_frame_lines_of_a_long_list(spark):
+    names = [f"Muvo {x}ari" for x in "ABCDEFGHIJKL"]
+    teasers = [f"{x} sorts the mail of a small shop." for x in names]
+    for entries in (names, teasers):
+        text = "\n".join(["Baro sorts mail. It is fast and small.", "Related tools", *entries, "© 2025 Tulobe"])
+        pages = spark.createDataFrame([("baro", "2026", text, None, None, "Baro", "https://tulobe.example", None, 1, "x", "f")], PAGE)
+        assert sorted(r["line_no"] for r in frame_lines(pages, train_tree(spark)).collect()) == list(range(1, 15))
+
+
 def test_frame_lines(spark):
     text = "We use cookies to improve the visit.\nAccept all\n\nHome | Pricing | Docs\nBaro Kit\nPricing\nBaro Kit sorts mail. It is fast and small, and it asks visitors for consent to cookies.\n- 4 seats included\nRelated tools\nMuvo\nTari Desk\n© 2025 Tulobe"
     page = ("baro", "2026", text, "Baro Kit - Tulobe", "x", "Baro Kit", "https://tulobe.example", None, 1, "x", "f")
