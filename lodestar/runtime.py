@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _let_workers_import(spark: SparkSession) -> None:
+def let_workers_import(spark: SparkSession) -> None:
     """Python workers find this package where the driver found it, whatever folder they are started in."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     here = str(Path(__file__).resolve().parents[1])
@@ -19,15 +19,18 @@ def _let_workers_import(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One input table; parquet files or directories alike."""
-    _let_workers_import(spark)
+    let_workers_import(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``; only when it is unset (tests) take a local one."""
+    """Use the shared folder named in ``spark.checkpoint.dir``; where it is unset, a local one on one machine, an error on a cluster."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestar-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors can reach")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodestar-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -49,3 +52,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     spark = df.sparkSession
     return df.repartition(max(parallelism(spark), 4 * spark.sparkContext.defaultParallelism), *keys)
+
+
+def balance(rows: DataFrame) -> DataFrame:
+    """Rows dealt out for slow work per row, if they come in fewer partitions than there are cores; else as they are.
+
+    A large table has many partitions and is not shuffled; a small one in a few files would keep most cores idle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= 2 * cores else rows.repartition(max(parallelism(rows.sparkSession), 2 * cores))
