@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+
+import numpy as np
+import xxhash
 
 # Labels of navigation, footers, consent and sharing that stand alone on a line or between separators.
 NAVIGATION = """home|pricing|features|integrations|customers|enterprise|solutions|templates|careers|partners|community|changelog|newsletter|
@@ -24,16 +28,18 @@ HEADINGS = """overview|who it is for|verdict|how it works|questions and answers|
 
 NAVIGATION, LABELS, WIDGETS, BOTH, HEADINGS = ({x.strip() for x in text.replace("\n", "").split("|")} for text in (NAVIGATION, LABELS, WIDGETS, BOTH, HEADINGS))
 
-#: Sentences that only the frame of a site says: consent, legal line, subscription, sharing, self-praise of the site.
-FRAME_SENTENCE = re.compile(
-    r"(?ix) \b(?:we|our|us|this\ site|your\ privacy|nous|ce\ site|usamos|este\ sitio|wir|diese\ seite)\b .{0,60}? \b(?:cookies?|small\ files|keep\ data|petits\ fichiers|pequeños\ archivos|kleine\ dateien|matters\ here)\b"
-    r"| ^cookies\ and\ similar | ©|\(c\)\s?\d|^copyright\b|all\ rights\ reserved|is\ a\ trademark\ of"
-    r"| ^join\ [\d.,]+\ readers | ^subscribe\ to | ^enter\ your\ email | ^get\ one\ short\ mail | ^never\ miss\ a | \bsign\ up\ for\ the\b"
-    r"| ^inscrivez-vous | ^recevez\ la\ lettre | ^suscríbete | ^recibe\ el\ bolet | ^newsletter\ von | ^jede\ woche\ neue\ werkzeuge"
-    r"| ^some\ links\ on\b | ^certains\ liens\ de\b | ^algunos\ enlaces\ (?:de|en)\b | ^einige\ links\ auf\b"
-    r"| ^[\d.,]+k?\ shares$ | ^was\ this\ page\ helpful | ^previous\ \| | ^call\ us: | ^\W*\w*\{?footer | has\ tracked\ tools\ since"
-    r"| \blists\ and\ compares\ software | \bhelps\ people\ do\ their\ best\ work | \bcompare\ les\ logiciels\ pour | \bcompara\ programas\ para | \bvergleicht\ software,\ damit"
+#: Sentences of frames, by how they start, and by what they hold: consent, rights, subscription, sharing, paid links.
+FRAME_START = re.compile(
+    r"(?ix) your\ privacy\b | cookies\ and\ similar | copyright\b | join\ [\d.,]+ | subscribe\b | enter\ your\ email | get\ one\  | never\ miss\ a\b | inscrivez-vous | recevez\b | abonnez-vous"
+    r"| suscríbete | recibe\b | newsletter\b | abonnieren\b | some\ links\ on\b | certains\ liens\ de\b | algunos\ enlaces\ (?:de|en)\b | einige\ links\ auf\b"
+    r"| [\d.,]+k?\ shares$ | was\ this\ page\ helpful | previous\ \| | call\ us: | \W*\w*\{?footer"
+)
+FRAME_INSIDE = re.compile(
+    r"(?ix) \b(?:we|our|us|this\ site|nous|ce\ site|usamos|este\ sitio|wir|diese\ seite)\b .{0,60}? \b(?:cookies?|small\ files|keep\ data|petits\ fichiers|pequeños\ archivos|kleine\ dateien)\b"
+    r"| ©|\(c\)\s?\d|all\ rights\ reserved|is\ a\ (?:registered\ )?trademark\ of | \bsign\ up\ for\ the\b | \b(?:in\ your\ inbox|im\ postfach|dans\ votre\ boîte|en\ tu\ correo)\b"
 )
+#: What a line must hold before the second pattern can match, which spares most lines the search.
+_HINTS = ("cookie", "small files", "keep data", "petits fichiers", "pequeños archivos", "kleine dateien", "©", "(c)", "rights reserved", "trademark", "sign up", "inbox", "postfach", "boîte", "correo")
 WIDGET_START = re.compile(r"(?i)^(?:more from|plus de|autres outils de|más de|mehr von)\s+\S+$")
 SEPARATOR = re.compile(r"\s*(?:\s[|·•/›»>→–—-]\s|\t|\s{2,}|\s[|·•/›»>→]|^[→›»>]\s)\s*")
 BULLET = re.compile(r"^(?:[-*•✓✔▪–]|\d{1,2}[.)])\s")
@@ -42,8 +48,8 @@ NAME = re.compile(r"^[A-ZÀ-Ý][\w'-]+(?: [A-Z][\w'-]+){0,2}$")
 TEASER = re.compile(r"^[A-ZÀ-Ý][\w'-]+(?: [A-Z][\w'-]+){0,2} [–—-] \S")
 
 FEATURES = (
-    "words words_before words_after links links_before links_after stops bullet is_name has_name has_site frame_sentence label navigation "
-    "widget_title widget_run heading crumbs from_top from_end navigation_before navigation_after frame_before frame_after short marked"
+    "words words_before words_after links links_before links_after links_near repeated repeated_before repeated_after sites of_site of_site_before of_site_after stops bullet "
+    "is_name has_name number cue label both widget_title widget_run heading crumbs from_top from_end short short_before short_after"
 ).split()
 
 
@@ -62,6 +68,14 @@ def segments(line: str) -> list[str]:
     return [x for x in (s.strip(" \t\xa0|·•/›»>→") for s in SEPARATOR.split(line)) if x]
 
 
+def frame_sentence(line: str) -> bool:
+    """Whether a line says what frames say."""
+    if FRAME_START.match(line):
+        return True
+    lower = line.lower()
+    return any(x in lower for x in _HINTS) and bool(FRAME_INSIDE.search(line))
+
+
 def _label_share(line: str) -> float:
     """Share of the words that stand in navigation labels, the flat-text stand-in for link density."""
     lower = line.lower()
@@ -92,44 +106,118 @@ def _kind(line: str, own: str) -> str:
     return "sentence" if stops == 1 and len(line.split()) > 3 else ""
 
 
-def line_features(lines: list[str], name: str, site: str) -> list[list[float]]:
-    """One row of FEATURES for every (stripped, not blank) line of a page."""
-    own, label = (name or "").strip(), site.split(".")[0]
-    base = []
-    run, kind = False, ""  # in a list of other tools, which goes on while its lines are of one kind
-    for line in lines:
-        lower = line.lower()
-        crumbs = segments(line)
-        title = lower in WIDGETS or bool(WIDGET_START.match(line))
-        if title:
-            run, kind, in_run = True, "", False
+@lru_cache(100_000)
+def _look(line: str) -> tuple:
+    """What a line shows by itself, whatever page it stands on; frames repeat, so most looks are remembered."""
+    lower = line.lower()
+    words, stops = len(line.split()), len(STOPS.findall(line))
+    heading = lower in HEADINGS or lower.startswith(("about ", "à propos de ", "sobre ", "über ")) and lower not in NAVIGATION
+    title = lower in WIDGETS or bool(WIDGET_START.match(line))
+    return words, _label_share(line), stops, bool(BULLET.match(line)), frame_sentence(line), lower in LABELS, lower in BOTH, title, heading
+
+
+def _runs(lines: list[str], looks: list[tuple], own: str) -> list[bool]:
+    """Which lines stand in a list of other tools: it starts under a widget's title and goes on while its lines are of one kind."""
+    out, run, kind = [], False, ""
+    for line, look in zip(lines, looks):
+        in_run = False
+        if look[7]:
+            run, kind = True, ""
         elif run:
-            here = _kind(line, own) if lower not in NAVIGATION | LABELS | HEADINGS and not FRAME_SENTENCE.search(line) else ""
+            lower = line.lower()
+            here = "" if look[4] or look[8] or lower in NAVIGATION or lower in LABELS else _kind(line, own)
             in_run = bool(here) and (not kind or here == kind)
             run, kind = in_run, here if in_run else ""
+        out.append(in_run)
+    return out
+
+
+def _replace_word(text: str, word: str, sign: str) -> str:
+    """Puts ``sign`` wherever ``word`` stands by itself."""
+    at = text.find(word)
+    while at >= 0:
+        end = at + len(word)
+        if (at and (text[at - 1].isalnum() or text[at - 1] == "_")) or (end < len(text) and (text[end].isalnum() or text[end] == "_")):
+            at = text.find(word, at + 1)
+        else:
+            text = text[:at] + sign + text[end:]
+            at = text.find(word, at + len(sign))
+    return text
+
+
+def mask(line: str, name: str, site: str) -> str:
+    """The line in lower case with the names of tool and site and all numbers masked."""
+    line = " ".join(line.lower().split())
+    if len(name) > 2:
+        line = _replace_word(line, name.lower(), "<name>")
+    if len(label := site.split(".")[0]) > 2:
+        line = _replace_word(line, label, "<site>")
+    return _NUMBER.sub("#", line)
+
+
+def line_key(masked: str) -> int:
+    return xxhash.xxh64_intdigest(masked) - 2**63
+
+
+def segments_of(masked: str) -> list[str]:
+    """The parts of a masked line that separators set off, or the line itself."""
+    parts = segments(masked) if _MAY_SEPARATE.search(masked) else [masked]
+    return parts if len(parts) > 1 else [masked]
+
+
+def in_frame(lines: list[str], name: str, site: str) -> list[bool]:
+    """Whether a line is frame by what it says alone: for those who need no more than that."""
+    own, label = (name or "").strip(), site.split(".")[0]
+    looks = [_look(x) for x in lines]
+    out = []
+    for line, look, run in zip(lines, looks, _runs(lines, looks, own)):
+        crumbs = bool(own) and line.endswith(own) and len(x := segments(line)) > 1 and x[-1] == own
+        of_site = bool(label) and label in line.lower() and not (own and own in line)
+        out.append(look[4] or look[5] or look[7] or run or crumbs or of_site or look[1] >= 0.5 and not look[6])
+    return out
+
+
+def line_features(lines: list[str], name: str, site: str, levels: dict[int, float], own_lines: set[int]) -> np.ndarray:
+    """One row of FEATURES for every (stripped, not blank) line of a page.
+
+    ``levels`` tells how common a line is among sites, and ``own_lines`` which lines many pages of this site have, by ``line_key``.
+    """
+    own = (name or "").strip()
+    looks = [_look(x) for x in lines]
+    runs = _runs(lines, looks, own)
+    count = len(lines)
+    x, rows = np.zeros((count, len(FEATURES))), []
+    for i, (line, look) in enumerate(zip(lines, looks)):
+        words, links, stops, bullet, cue, is_label, both, title, heading = look
+        masked = mask(line, own, site)
+        parts = segments_of(masked)
+        key = line_key(masked)
+        sites, of_site = levels.get(key, 0.0), key in own_lines
+        if len(parts) == 1:
+            repeated = float(words <= 4 and bool(sites or of_site))
         else:
-            in_run = False
-        base.append({
-            "words": len(line.split()), "links": _label_share(line), "stops": len(STOPS.findall(line)), "bullet": bool(BULLET.match(line)),
-            "is_name": line == own, "has_name": bool(own) and own in line, "has_site": bool(label) and re.search(rf"\b{re.escape(label)}\b", lower) is not None,
-            "frame_sentence": bool(FRAME_SENTENCE.search(line)), "label": lower in LABELS, "navigation": lower.lstrip("→ ") in NAVIGATION,
-            "both": lower in BOTH, "widget_title": title, "widget_run": in_run, "heading": lower in HEADINGS or lower.startswith(("about ", "à propos de ", "sobre ", "über ")) and lower not in NAVIGATION,
-            "crumbs": len(crumbs) > 1 and bool(own) and crumbs[-1] == own, "short": len(line.split()) <= 4 and not STOPS.search(line),
-        })
-    rows = []
-    none = dict.fromkeys(base[0], 0) if base else {}
-    for b in base:
-        b["marked"] = bool(b["frame_sentence"] or b["label"] or b["widget_title"] or b["widget_run"] or b["crumbs"] or b["links"] >= 0.5 and not b["both"])
-    framed = [bool(b["frame_sentence"] or b["label"] or b["links"] >= 0.5 or b["widget_title"] or b["widget_run"] or b["crumbs"]) for b in base]
-    for i, b in enumerate(base):
-        before, after = base[i - 1] if i else none, base[i + 1] if i + 1 < len(base) else none
-        b = b | {
-            "words_before": before["words"], "words_after": after["words"], "links_before": before["links"], "links_after": after["links"],
-            "navigation_before": before["navigation"], "navigation_after": after["navigation"], "from_top": min(i, 30), "from_end": min(len(base) - 1 - i, 30),
-            "frame_before": i == 0 or framed[i - 1], "frame_after": i + 1 == len(base) or framed[i + 1],
-        }
-        rows.append([float(b[f]) for f in FEATURES])
-    return rows
+            repeated = sum(n for p in parts if (n := p.count(" ") + 1) <= 4 and ((k := line_key(p)) in levels or k in own_lines)) / max(1, words)
+        crumbs = len(parts) > 1 and bool(own) and parts[-1] == "<name>"
+        rows.append((
+            words, links, min(1.0, repeated), sites, of_site, stops, bullet, line == own, bool(own) and own in line, "#" in masked,
+            cue or "<site>" in masked and "<name>" not in masked, is_label, both, title, runs[i], heading, crumbs, min(i, 30), min(count - 1 - i, 30), words <= 4 and not stops,
+        ))
+    if rows:
+        x[:, _OWN] = np.array(rows, np.float64)
+    for own_column, before, after in _NEIGHBOURS:
+        x[1:, before] = x[:-1, own_column]
+        x[:-1, after] = x[1:, own_column]
+    if count:
+        links = np.concatenate([np.zeros(3), x[:, _LINKS], np.zeros(3)])
+        x[:, _NEAR] = sum(links[3 + d : 3 + d + count] for d in (-3, -2, -1, 1, 2, 3)) / 6
+    return x
+
+
+_NUMBER = re.compile(r"\d+")
+_MAY_SEPARATE = re.compile(r"[|·•/›»>→–—\t]|\s-\s")
+_OWN = [FEATURES.index(f) for f in "words links repeated sites of_site stops bullet is_name has_name number cue label both widget_title widget_run heading crumbs from_top from_end short".split()]
+_NEIGHBOURS = [tuple(FEATURES.index(f"{f}{side}") for side in ("", "_before", "_after")) for f in ("words", "links", "repeated", "of_site", "short")]
+_LINKS, _NEAR = FEATURES.index("links"), FEATURES.index("links_near")
 
 
 def title_has_frame(title: str, name: str, site: str) -> bool:
