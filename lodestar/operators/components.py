@@ -42,14 +42,19 @@ def canonical_members(members: DataFrame) -> DataFrame:
 
 
 def apply_duplicates(table: DataFrame, duplicates: DataFrame, key: str) -> DataFrame:
-    """Sets status to ``duplicate`` for the keys given; ``prev_status`` keeps the first status that was replaced."""
+    """Sets status to ``duplicate`` for the keys given.
+
+    ``prev_status`` keeps the first status that was replaced, and ``marked`` that it was, as that status may have been null.
+    """
     hit = table.join(duplicates.select(F.col(key), F.lit(True).alias("_hit")).distinct(), key, "left")
-    now = F.col("_hit") & (F.coalesce("status", F.lit("")) != "duplicate")
-    before = F.when(now, F.col("status")).otherwise(F.col("prev_status") if "prev_status" in table.columns else F.lit(None).cast("string"))
-    return hit.withColumn("prev_status", before).withColumn("status", F.when(F.col("_hit"), "duplicate").otherwise(F.col("status"))).drop("_hit")
+    now = F.coalesce("_hit", F.lit(False)) & (F.coalesce("status", F.lit("")) != "duplicate")
+    before = F.col("prev_status") if "prev_status" in table.columns else F.lit(None).cast("string")
+    marked = F.col("marked") if "marked" in table.columns else F.lit(False)
+    hit = hit.withColumn("prev_status", F.when(now, F.col("status")).otherwise(before)).withColumn("marked", now | marked)
+    return hit.withColumn("status", F.when(F.col("_hit"), "duplicate").otherwise(F.col("status"))).drop("_hit")
 
 
 def reset_duplicates(table: DataFrame) -> DataFrame:
-    """Undoes :func:`apply_duplicates`."""
-    back = (F.col("status") == "duplicate") & F.col("prev_status").isNotNull()
-    return table.withColumn("status", F.when(back, F.col("prev_status")).otherwise(F.col("status"))).withColumn("prev_status", F.lit(None).cast("string"))
+    """Undoes :func:`apply_duplicates`, also where the status was null."""
+    status = F.when(F.col("marked"), F.col("prev_status")).otherwise(F.col("status"))
+    return table.withColumn("status", status).withColumn("prev_status", F.lit(None).cast("string")).withColumn("marked", F.lit(False))

@@ -16,13 +16,13 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
-def _search(n: int, least: float):
+def _search(n: int, least: float, decimals: int):
     def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
         schema = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("similarity", pa.float64())])
         if not queries.num_rows or not rows.num_rows:
             return schema.empty_table()
         q, r = queries["id"].to_numpy(), rows["id"].to_numpy()
-        found = np.round(_matrix(queries["unit"]) @ _matrix(rows["unit"]).T, 6)
+        found = np.round(_matrix(queries["unit"]) @ _matrix(rows["unit"]).T, decimals)
         found[q[:, None] == r[None]] = -2
         ok = found >= least
         if n < len(r):
@@ -33,18 +33,47 @@ def _search(n: int, least: float):
     return search
 
 
-def nearest(queries: DataFrame, rows: DataFrame, n: int, least: float) -> DataFrame:
-    """(id, other, similarity, rank_no): for each query the ``n`` most similar other rows with a cosine of at least ``least``.
-
-    Both tables have id (long) and unit (array<double> of one size and length 1); null vectors do not count. Cosines have 6
-    decimals, ties go to the smaller id. Rows and queries are cut into blocks by hash; each pair of blocks is one product
-    of matrices and gives at most its own best.
-    """
-    queries, rows = queries.where("unit IS NOT NULL"), rows.where("unit IS NOT NULL")
+def _blocks(queries: DataFrame, rows: DataFrame):
+    """The tables cut into blocks by hash and grouped by pair of blocks; each pair is one product of matrices."""
+    queries, rows = queries.where("unit IS NOT NULL").select("id", "unit"), rows.where("unit IS NOT NULL").select("id", "unit")
     many = lambda t: max(1, -(-t.count() // BLOCK_ROWS))
     a, b = many(queries), many(rows)
     queries = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(a))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
     rows = rows.withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(a - 1).cast("long"))))
-    near = queries.groupBy("qb", "rb").cogroup(rows.groupBy("qb", "rb")).applyInArrow(_search(n, least), "id long, other long, similarity double")
+    return queries.groupBy("qb", "rb").cogroup(rows.groupBy("qb", "rb"))
+
+
+def _count(least: float):
+    def count(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("best", pa.float64())])
+        if not queries.num_rows or not rows.num_rows:
+            return schema.empty_table()
+        q, r = queries["id"].to_numpy(), rows["id"].to_numpy()
+        found = np.round(_matrix(queries["unit"]) @ _matrix(rows["unit"]).T, 6)
+        found[q[:, None] == r[None]] = -2
+        links = (found >= least).sum(1)
+        some = links > 0
+        return pa.Table.from_arrays([pa.array(q[some]), pa.array(links[some]), pa.array(found.max(1)[some])], schema=schema)
+
+    return count
+
+
+def count_links(queries: DataFrame, rows: DataFrame, least: float) -> DataFrame:
+    """(id, links, best): for each query the number of other rows with a cosine of at least ``least``, and the best cosine.
+
+    Pairs are counted inside the products of blocks and never written out; queries without links have no row.
+    """
+    counted = _blocks(queries, rows).applyInArrow(_count(least), "id long, links long, best double")
+    return counted.groupBy("id").agg(F.sum("links").alias("links"), F.max("best").alias("best"))
+
+
+def nearest(queries: DataFrame, rows: DataFrame, n: int, least: float, decimals: int = 6) -> DataFrame:
+    """(id, other, similarity, rank_no): for each query the ``n`` most similar other rows with a cosine of at least ``least``.
+
+    Both tables have id (long) and unit (array<double> of one size and length 1); null vectors do not count. Cosines are rounded
+    to ``decimals`` before they are compared and ranked, ties go to the smaller id. Rows and queries are cut into blocks by
+    hash; each pair of blocks is one product of matrices and gives at most its own best.
+    """
+    near = _blocks(queries, rows).applyInArrow(_search(n, least, decimals), "id long, other long, similarity double")
     order = W.partitionBy("id").orderBy(F.desc("similarity"), "other")
     return near.withColumn("rank_no", F.row_number().over(order)).where(F.col("rank_no") <= n)

@@ -5,7 +5,7 @@ No version is written over one that the same plan reads: :func:`write_version` m
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,13 @@ def write_version(table: DataFrame, folder: str, version: str) -> str:
     path = f"{folder}/version={version}"
     table.write.mode("errorifexists").parquet(path)
     return path
+
+
+def delete_where(table: DataFrame, condition: Column) -> DataFrame:
+    """The table without the rows for which the condition is true; where it is null, rows stay."""
+    return table.where(~F.coalesce(condition, F.lit(False)))
+
+
+def append(log: DataFrame, rows: DataFrame) -> DataFrame:
+    """A log with rows put behind what is there; nothing is replaced, and columns go by name."""
+    return log.unionByName(rows)

@@ -9,7 +9,7 @@ from lodestar.functions import text as X
 from lodestar.functions import values as V
 from lodestar.operators.components import apply_duplicates, canonical_members, components, reset_duplicates
 from lodestar.operators.delta import latest
-from lodestar.operators.similarity import nearest
+from lodestar.operators.similarity import count_links, nearest
 from lodestar.runtime import table
 
 
@@ -20,7 +20,7 @@ def _vectors(spark: SparkSession, root: str) -> DataFrame:
 def top_alternatives(spark: SparkSession, root: str) -> DataFrame:
     """The five most similar vectors of every 20th one, with a cosine of at least 0.3 and the reason text."""
     rows = _vectors(spark, root)
-    found = nearest(rows.where("id % 20 = 0"), rows, 5, 0.3)
+    found = nearest(rows.where("id % 20 = 0"), rows, 5, 0.3, decimals=3)
     similarity = V.clamp_similarity(F.col("similarity"))
     return found.select(F.col("id").alias("vec_id"), F.col("other").alias("alternative_id"), "rank_no", similarity.alias("similarity"), F.format_string("semantic similarity (cosine %.3f)", similarity).alias("reason"))
 
@@ -28,8 +28,7 @@ def top_alternatives(spark: SparkSession, root: str) -> DataFrame:
 def similarity_links(spark: SparkSession, root: str) -> DataFrame:
     """For every 20th vector the number of vectors with a cosine of at least 0.25, and the best one."""
     rows = _vectors(spark, root)
-    pairs = nearest(rows.where("id % 20 = 0"), rows, 1_000_000_000, 0.25)
-    return pairs.groupBy(F.col("id").alias("vec_id")).agg(F.count("*").alias("links"), F.max("similarity").alias("best"))
+    return count_links(rows.where("id % 20 = 0"), rows, 0.25).withColumnRenamed("id", "vec_id")
 
 
 def vector_search(spark: SparkSession, root: str) -> DataFrame:
@@ -94,15 +93,19 @@ def duplicate_canonical(spark: SparkSession, root: str) -> DataFrame:
     return _canonical(spark, root).where("slug <> canonical").select("slug", "canonical")
 
 
+def _applied(spark: SparkSession, root: str) -> DataFrame:
+    tools = table(spark, root, "tools").select("id", "slug", "status").distinct()
+    return apply_duplicates(tools, duplicate_canonical(spark, root), "slug")
+
+
 def dedup_apply(spark: SparkSession, root: str) -> DataFrame:
     """Status of all tools after duplicates were marked, with what it was before."""
-    tools = table(spark, root, "tools").select("id", "slug", "status").distinct()
-    return apply_duplicates(tools, duplicate_canonical(spark, root), "slug").select("id", "slug", "status", "prev_status")
+    return _applied(spark, root).select("id", "slug", "status", "prev_status")
 
 
 def dedup_reset(spark: SparkSession, root: str) -> DataFrame:
     """Applying and undoing gives what was there."""
-    return reset_duplicates(dedup_apply(spark, root)).select("id", "slug", "status")
+    return reset_duplicates(_applied(spark, root)).select("id", "slug", "status")
 
 
 def pair_reasons(spark: SparkSession, root: str) -> DataFrame:
@@ -120,7 +123,8 @@ def dedup_latest(spark: SparkSession, root: str) -> DataFrame:
     return latest(table(spark, root, "dedup_map").where("slug IS NOT NULL").distinct(), ["slug"], F.desc("detected_at"), F.asc_nulls_first("canonical_slug"), F.asc_nulls_first("reason")).select("slug", "canonical_slug", "detected_at")
 
 
-_COS = "round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6)"
+_RAW = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
+_COS = f"round({_RAW}, 6)"
 _LOOSE = "nullif(split_part(regexp_replace(regexp_replace(lower(trim({u})), '^.*?://', ''), '^www\\.', ''), '/', 1), '')"
 _STRICT = "nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim({u})), '^[a-z][a-z0-9+.-]*://', ''), '[/?#].*$', ''), '^[^@]*@', ''), ':.*$', ''), '^www\\.', ''), '')"
 _GROUPS = """
@@ -136,8 +140,8 @@ doubles AS (SELECT slug, canonical FROM ranked WHERE slug <> canonical)
 ENTRIES = {
     "top_alternatives": (top_alternatives, f"""
 SELECT vec_id, alternative_id, CAST(rank_no AS INTEGER) AS rank_no, least(round(s, 3), 9.999) AS similarity, printf('semantic similarity (cosine %.3f)', least(round(s, 3), 9.999)) AS reason FROM (
-  SELECT a.vec_id, b.vec_id AS alternative_id, {_COS} AS s, row_number() OVER (PARTITION BY a.vec_id ORDER BY {_COS} DESC, b.vec_id) AS rank_no
-  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 AND {_COS} >= 0.3) WHERE rank_no <= 5"""),
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, alternative_id) AS rank_no FROM (
+    SELECT a.vec_id, b.vec_id AS alternative_id, round({_RAW}, 3) AS s FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE s >= 0.3) WHERE rank_no <= 5"""),
     "similarity_links": (similarity_links, f"""
 SELECT a.vec_id, count(*) AS links, max({_COS}) AS best FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
 WHERE a.vec_id % 20 = 0 AND {_COS} >= 0.25 GROUP BY a.vec_id"""),

@@ -47,7 +47,9 @@ def missing_vector(spark: SparkSession, root: str) -> DataFrame:
 
 
 def status_counts(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "raw_tools").distinct().groupBy("status").agg(F.count("*").alias("rows"), F.count_distinct("slug").alias("slugs"), F.count_if(F.col("raw_text").isNull()).alias("without_text"))
+    rows = table(spark, root, "raw_tools")
+    rows = rows.select("status", "slug", "collected_at", F.col("raw_text").isNull().alias("empty"), F.sha2(F.to_json(F.struct("*")), 256).alias("row_hash")).distinct()  # texts stay out of the shuffle
+    return rows.groupBy("status").agg(F.count("*").alias("rows"), F.count_distinct("slug").alias("slugs"), F.count_if("empty").alias("without_text"))
 
 
 def any_flag(spark: SparkSession, root: str) -> DataFrame:

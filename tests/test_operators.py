@@ -8,11 +8,11 @@ from lodestar.functions import values as V
 from lodestar.operators import providers, writes
 from lodestar.operators.components import apply_duplicates, components, reset_duplicates
 from lodestar.operators.delta import changed, content_hash, override_union
-from lodestar.operators.similarity import nearest
+from lodestar.operators.similarity import count_links, nearest
 from lodestar.plans.pipeline import run_steps
 from lodestar.sources import files
 from lodestar.schemas import VOCABULARY
-from lodestar.streaming.deltas import changed_stream, write_changes
+from lodestar.streaming.deltas import hashed_stream, write_changes
 
 
 def rows(df):
@@ -126,10 +126,33 @@ def test_pipeline_stops_at_a_critical_failure(spark, tmp_path):
 
 
 def test_stream_of_changes(spark, tmp_path):
-    source = tmp_path / "in"
-    kind = "slug string, body string, ts timestamp"
-    table = spark.createDataFrame([("a", "x", None), ("a", "x", None), ("b", "y", None)], kind).withColumn("ts", F.lit("2026-01-01").cast("timestamp"))
-    table.write.parquet(str(source))
-    stream = spark.readStream.schema(table.schema).parquet(str(source))
-    write_changes(changed_stream(stream, "slug", ["body"], "ts"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    source, out = tmp_path / "in", tmp_path / "out"
+    kind = "slug string, body string, day int"
+    stream = lambda: hashed_stream(spark.readStream.schema("slug string, body string, day int").parquet(str(source)), ["body"])
+    found = []
+    for day, rows_ in enumerate(([("a", "x"), ("a", "x"), ("b", "y")], [("a", "z"), ("b", "y")], [("a", "x")])):  # a goes back to what it was
+        spark.createDataFrame([(*r, day) for r in rows_], kind).coalesce(1).write.mode("append").parquet(str(source))
+        write_changes(stream(), "slug", "day", str(out), str(tmp_path / "cp")).awaitTermination()
+        found.append(sorted(r["slug"] for r in spark.read.parquet(str(out / "changes" / f"batch={day}")).collect()))
+    assert found == [["a", "b"], ["a"], ["a"]]
+
+
+def test_reset_of_a_null_status(spark):
+    table = spark.createDataFrame([("a", None), ("b", "draft")], "slug string, status string")
+    marked = apply_duplicates(table, spark.createDataFrame([("a",)], "slug string"), "slug")
+    assert rows(marked.select("slug", "status", "prev_status")) == [("a", "duplicate", None), ("b", "draft", None)]
+    assert rows(reset_duplicates(marked).select("slug", "status")) == rows(table)
+
+
+def test_similarity_is_rounded_before_the_threshold(spark):
+    other = [0.5496, (1 - 0.5496**2) ** 0.5]
+    table = spark.createDataFrame([(1, [1.0, 0.0]), (2, other)], "id long, unit array<double>")
+    assert [(r["other"], r["similarity"]) for r in nearest(table.where("id = 1"), table, 5, 0.55, decimals=3).collect()] == [(2, 0.55)]
+    assert nearest(table.where("id = 1"), table, 5, 0.55).count() == 0
+    assert rows(count_links(table, table, 0.5)) == [(1, 1, 0.5496), (2, 1, 0.5496)]
+
+
+def test_delete_and_append(spark):
+    table = spark.createDataFrame([(1, "draft"), (2, None), (3, "published")], "id int, status string")
+    assert rows(writes.delete_where(table, F.col("status") == "draft").select("id")) == [(2,), (3,)]
+    assert writes.append(table, table.select("status", "id")).count() == 6
