@@ -11,26 +11,28 @@ that are equal are one entry and one query with the k + 1 smallest keys of all,
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+import json
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from lodestar.runtime import cut_lineage, spread, table
+from lodestar.runtime import balance, cut_lineage, let_workers_import, spread, table
 
 #: Fitted codebooks read at most about SAMPLE vectors of a collection, chosen by hash.
 SAMPLE = 20_000
-#: Entries that a walk gathers at least; spaces that are not larger are searched exactly.
-CANDIDATES = 10_000
-#: Vectors of a larger space that are compared with all others, and the share of their neighbours that walks have to reach.
-PROBES, TARGET = 400, 0.95
+#: Entries that a walk gathers at least, in a space of any size.
+CANDIDATES = 1_500
+#: Vectors of a space that are compared with all others, and the share of their neighbours that walks have to reach.
+PROBES, TARGET = 400, 0.98
 BLOCK_ENTRIES = 32_000
 BLOCK_QUERIES = 8_000
 #: Centroids of a half of a space with 4 x CENTROIDS^2 vectors; smaller and larger spaces have fewer and more (centroids_of).
@@ -38,23 +40,61 @@ CENTROIDS = 64
 _NONE = np.iinfo(np.int64).min
 
 
-def unit_vectors(rows: DataFrame, vector: Column, size: Column) -> DataFrame:
-    """Adds ``unit``: the vector divided by its length, null unless it is complete, finite and not all zero.
-
-    Components are rounded to 12 places, so that scaled copies become equal.
+_VECTORS = "space string, key string, key_no long, unit binary, class_id string"
+
+
+def _numbers(value: object) -> np.ndarray | None:
+    """The numbers of a vector given as a list or as JSON text, or None where it is no list of numbers."""
+    if isinstance(value, str):
+        try:
+            value = json.loads(value)
+        except ValueError:
+            return None
+        if not isinstance(value, list) or any(type(x) not in (int, float) for x in value):
+            return None
+    if value is None or any(x is None for x in value):
+        return None
+    try:
+        return np.array(value, np.float64)
+    except OverflowError:
+        return None
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spaces, keys, numbers, sizes, vectors = (c.to_pylist() for c in batch.columns)
+        out = []
+        for space, key, no, size, value in zip(spaces, keys, numbers, sizes, vectors):
+            v = None if space is None or key is None else _numbers(value)
+            if v is None or len(v) != size or not size:
+                continue
+            with np.errstate(over="ignore"):
+                length = math.sqrt(float(v @ v)) if np.isfinite(v).all() else math.inf
+            if 0 < length < math.inf:
+                unit = (np.round(v / length, 12) + 0.0).tobytes()
+                out.append((space, key, no, unit, hashlib.md5(unit).hexdigest()))
+        columns = list(zip(*out)) or [[]] * 5
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["space", "key", "key_no", "unit", "class_id"])
+
+
+def unit_vectors(rows: DataFrame) -> DataFrame:
+    """(space, key, key_no, unit, class_id) of the rows (space, key, key_no, size, vector) that are usable.
+
+    ``vector`` is an array of numbers or its JSON text. ``unit`` holds the float64 numbers of the vector divided by its
+    length, rounded to 12 places, so that scaled copies become equal; ``class_id`` is a hash of it. Vectors that are null,
+    broken, not of ``size`` numbers, not finite or all zero have no row, nor have null spaces and keys.
     """
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.withColumn("v", vector.cast("array<double>")).withColumn("v", F.when((F.size("v") == size) & finite, F.col("v")))
-    rows = rows.withColumn("length", length)
-    usable = (F.col("length") > 0) & (F.col("length") < F.lit(float("inf")))
-    return rows.withColumn("unit", F.when(usable, F.transform("v", lambda x: F.round(x / F.col("length"), 12)))).drop("v", "length")
+    let_workers_import(rows.sparkSession)
+    return balance(rows.select("space", "key", "key_no", "size", "vector")).mapInArrow(_units, _VECTORS)
 
 
 def _fit(k: int, steps: int = 12):
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         """Lloyd's iterations for one half of one collection, seeded by squared distance."""
-        x = np.stack(rows["part"].to_numpy())
+        x = np.stack([np.frombuffer(u) for u in rows["unit"]])
+        middle = x.shape[1] // 2
+        x = x[:, middle:] if rows["half"].iloc[0] else x[:, :middle]
         x = x[np.lexsort(x.T[::-1])]
         draw = np.random.default_rng(7)
         k_here = min(k, len(np.unique(x, axis=0)))
@@ -85,12 +125,8 @@ def fit_codebooks(entries: DataFrame, counts: dict[str, int]) -> dict[str, tuple
     """Two codebooks for each space, from a sample of about ``SAMPLE`` vectors; 2 x centroids_of(n) of them come back."""
     rate = F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, min(1.0, SAMPLE / n) * 1_000_000)])
     k = {s: centroids_of(n) for s, n in counts.items()}
-    middle = F.floor(F.size("unit") / 2).cast("int")
     sample = entries.where(F.pmod(F.xxhash64("class_id"), F.lit(1_000_000)) < rate[F.col("space")])
-    halves = sample.select(
-        "space",
-        F.posexplode(F.array(F.slice("unit", F.lit(1), middle), F.slice("unit", middle + 1, F.size("unit")))).alias("half", "part"),
-    )
+    halves = sample.select("space", "unit", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
     books: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for size in sorted(set(k.values())):
         spaces = [s for s in counts if k[s] == size]
@@ -103,10 +139,7 @@ def fit_codebooks(entries: DataFrame, counts: dict[str, int]) -> dict[str, tuple
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks)
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist())).reshape(len(column), -1)
 
 
 def _distances(x: np.ndarray, books: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -187,7 +220,7 @@ def enough_entries(placed: DataFrame, books: dict, sizes: dict, counts: dict[str
     chosen = placed.where(F.pmod(F.xxhash64("class_id", F.lit("probe")), F.lit(1_000_000)) < rate[F.col("space")]).select("space", "class_id", "unit")
     probes: dict[str, tuple[list[str], np.ndarray]] = {}
     for s, own in chosen.toPandas().sort_values("class_id").groupby("space"):
-        probes[s] = own["class_id"].tolist(), np.stack(own["unit"].to_numpy())
+        probes[s] = own["class_id"].tolist(), np.stack([np.frombuffer(u) for u in own["unit"]])
     near = placed.select("space", "class_id", "unit", "cell").mapInArrow(_nearest_cells(probes, k), "space string, probe int, cosine double, cell int")
     place = F.row_number().over(W.partitionBy("space", "probe").orderBy(F.desc("cosine"), "cell"))
     near = near.withColumn("place", place).where(F.col("place") <= k).toPandas()  # at most PROBES x k rows a space
@@ -225,7 +258,7 @@ def plan_blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, pieces, np.array(held)
 
 
-_SENT = T.StructType([T.StructField("space", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("class_id", T.StringType()), T.StructField("unit", T.ArrayType(T.DoubleType())), T.StructField("cells", T.ArrayType(T.IntegerType()))])
+_SENT = T.StructType([T.StructField("space", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("class_id", T.StringType()), T.StructField("unit", T.BinaryType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
 
 
 def _send(books: dict, sizes: dict, plans: dict, enough: dict[str, int]):
@@ -295,14 +328,13 @@ def _rerank(k: int):
 def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES) -> DataFrame:
     """(space, key, neighbour, cosine6): the ``k`` others of highest cosine in the same space, ties to the smaller key.
 
-    ``items`` has space, key (strings), key_no (a number that goes before key in the order, or null) and unit (array<double>
-    of length 1, equally long in a space). Null keys, spaces and vectors do not count; repeated rows count once; of several
-    vectors under one key the smallest counts. Spaces with fewer than k + 1 items give all others. Cosines are compared
+    ``items`` is as from ``unit_vectors``: space, key (strings), key_no (a number that goes before key in the order, or null),
+    unit and class_id. Repeated rows count once; of several vectors under one key the one with the smallest hash counts. Spaces with fewer than k + 1 items give all others. Cosines are compared
     after rounding to 6 places; cosine6 is that number in millionths. No rows give no rows. A query meets ``candidates``
     others at least, and as many as ``enough_entries`` finds necessary.
     """
-    items = items.dropna(subset=["space", "key", "unit"]).groupBy("space", "key").agg(F.min("key_no").alias("key_no"), F.min("unit").alias("unit"))
-    items = cut_lineage(items.withColumn("class_id", F.md5(F.concat_ws(",", F.col("unit").cast("array<string>")))))
+    items = items.groupBy("space", "key").agg(F.min("key_no").alias("key_no"), F.min(F.struct("class_id", "unit")).alias("x"))
+    items = cut_lineage(items.select("space", "key", "key_no", "x.unit", "x.class_id"))
     by_key = W.partitionBy("space", "class_id").orderBy(F.col("key_no").asc_nulls_first(), "key")
     firsts = items.withColumn("place", F.row_number().over(by_key)).where(F.col("place") <= k + 1)
     entries = firsts.groupBy("space", "class_id").agg(
@@ -360,15 +392,13 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
 
 def usable_vectors(spark: SparkSession, root: str) -> DataFrame:
     """The usable vectors of both embedding tables; a model of tool_embeddings is a space of its own."""
-    tools = table(spark, root, "tool_embeddings").select("slug", "model", "dim", F.from_json("embedding_json", "array<double>").alias("vector"))
-    tools = unit_vectors(tools, F.col("vector"), F.col("dim")).select(
-        F.concat(F.lit("tool_embeddings/"), F.coalesce("model", F.lit(""))).alias("space"), F.col("slug").alias("key"), F.lit(None).cast("bigint").alias("key_no"), "unit"
+    tools = table(spark, root, "tool_embeddings").select(
+        F.concat(F.lit("tool_embeddings/"), F.coalesce("model", F.lit(""))).alias("space"), F.col("slug").alias("key"), F.lit(None).cast("bigint").alias("key_no"), F.col("dim").alias("size"), F.col("embedding_json").alias("vector")
     )
-    search = table(spark, root, "search_embeddings").select("tool_id", "embedding")
-    search = unit_vectors(search, F.col("embedding"), F.lit(64)).select(
-        F.lit("search_embeddings/").alias("space"), F.col("tool_id").cast("string").alias("key"), F.col("tool_id").alias("key_no"), "unit"
+    search = table(spark, root, "search_embeddings").select(
+        F.lit("search_embeddings/").alias("space"), F.col("tool_id").cast("string").alias("key"), F.col("tool_id").alias("key_no"), F.lit(64).alias("size"), F.col("embedding").alias("vector")
     )
-    return tools.unionByName(search)
+    return unit_vectors(tools).unionByName(unit_vectors(search))
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:

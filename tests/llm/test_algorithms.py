@@ -64,7 +64,7 @@ def test_top_items(spark):
 
 def _items(spark, x, keys, space="s"):
     table = spark.createDataFrame([(space, k, None, v) for k, v in zip(keys, x)], "space string, key string, key_no long, v array<double>")
-    return N.unit_vectors(table, F.col("v"), F.lit(len(x[0]))).select("space", "key", "key_no", "unit")
+    return N.unit_vectors(table.withColumn("size", F.lit(len(x[0]))).withColumnRenamed("v", "vector"))
 
 
 def _brute(x, keys, k):
@@ -99,11 +99,17 @@ def test_neighbours_of_few_and_of_odd_vectors(spark):
     table = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("b", [1.0, 0.1]), ("c", [0.0, 0.0]), ("d", None), ("e", [1.0]), ("f", [1.0, float("nan")]), (None, [1.0, 1.0]), ("g", [float("inf"), 1.0])], "key string, v array<double>"
     )
-    items = N.unit_vectors(table, F.col("v"), F.lit(2)).select(F.lit("s").alias("space"), "key", F.lit(None).cast("long").alias("key_no"), "unit")
+    items = N.unit_vectors(table.select(F.lit("s").alias("space"), "key", F.lit(None).cast("long").alias("key_no"), F.lit(2).alias("size"), F.col("v").alias("vector")))
     assert _lists(N.similar_vectors(items)) == {"a": {"b"}, "b": {"a"}}
     assert N.similar_vectors(items.limit(0)).count() == 0
 
 
+def test_vectors_from_text():
+    for text, wanted in (("[1, 2.5e0]", [1.0, 2.5]), ("[1, 2", None), ("", None), ("{}", None), ("[]", []), ('["1"]', None), ("[null]", None), ("[1" + "0" * 400 + "]", None), ("[NaN]", "nan")):
+        found = N._numbers(text)
+        assert (found is None) if wanted is None else np.isnan(found).all() if wanted == "nan" else found.tolist() == wanted, text
+
+
 def test_neighbours_recall(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK_ENTRIES", 300)
     monkeypatch.setattr(N, "BLOCK_QUERIES", 500)
