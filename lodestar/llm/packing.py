@@ -10,6 +10,8 @@ and a rest; nothing else is split.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,26 +21,29 @@ from lodestar.llm.tokens import document_sizes
 from lodestar.runtime import cut_lineage, spread, table
 
 SHARD_ITEMS = 1_200
-ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE = 2, 2, 6, 6, 3
+ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE = 2, 3, 12, 8, 3
 #: Packs filled less than this are opened for the second round.
 GOOD_FILL = 0.985
 
 
 def best_fit(sizes: np.ndarray, capacity: int, order: np.ndarray, genes: np.ndarray, room: list[int]) -> None:
-    """Puts the items of ``order`` into the fullest pack that has room, or a new one; changes ``genes`` and ``room``."""
-    free = np.array(room + [0] * len(order), dtype=np.int64)
-    used = len(room)
-    for item in order:
-        size = sizes[item]
-        fits = np.flatnonzero(free[:used] >= size)
-        if len(fits):
-            at = fits[free[fits].argmin()]
+    """Puts the items of ``order`` into the fullest pack that has room, or a new one; changes ``genes`` and ``room``.
+
+    Packs are kept sorted by room and found by bisection.
+    """
+    free = sorted((r, at) for at, r in enumerate(room) if r > 0)
+    for item, size in zip(order.tolist(), sizes[order].tolist()):
+        place = bisect_left(free, (size, -1))
+        if place < len(free):
+            left, at = free.pop(place)
         else:
-            at, free[used] = used, capacity
-            used += 1
-        free[at] -= size
+            left, at = capacity, len(room)
+            room.append(capacity)
+        left -= size
+        room[at] = left
         genes[item] = at
-    room[:] = free[:used].tolist()
+        if left > 0:
+            insort(free, (left, at))
 
 
 def fills(sizes: np.ndarray, genes: np.ndarray) -> np.ndarray:
@@ -52,24 +57,22 @@ def fitness(sizes: np.ndarray, genes: np.ndarray, capacity: int) -> float:
     return float((full**2).mean())
 
 
-def _refill(sizes: np.ndarray, capacity: int, genes: np.ndarray, loose: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+def _refill(sizes: np.ndarray, capacity: int, genes: np.ndarray, loose: np.ndarray, draw: np.random.Generator, disorder: float = 0.08) -> np.ndarray:
     """Renumbers the packs that keep items and puts the loose items back, larger ones first with a little disorder."""
     held = np.ones(len(genes), bool)
     held[loose] = False
     out = np.full(len(genes), -1, np.int64)
     _, out[held] = np.unique(genes[held], return_inverse=True)
     room = (capacity - np.bincount(out[held], weights=sizes[held])).astype(np.int64).tolist() if held.any() else []
-    order = loose[np.argsort(-sizes[loose] * draw.uniform(0.92, 1.08, len(loose)), kind="stable")]
+    order = loose[np.argsort(-sizes[loose] * draw.uniform(1 - disorder, 1 + disorder, len(loose)), kind="stable")]
     best_fit(sizes, capacity, order, out, room)
     return out
 
 
 def crossover(sizes: np.ndarray, capacity: int, one: np.ndarray, two: np.ndarray, draw: np.random.Generator) -> np.ndarray:
-    """Injects the better-filled packs of ``two`` into ``one``."""
+    """Injects packs of ``two`` into ``one``: of the better-filled half of its packs, whatever their fill, about six in ten."""
     full = fills(sizes, two)
-    chosen = np.flatnonzero((full >= 0.97 * capacity) & (draw.random(len(full)) < 0.6))
-    if not len(chosen):
-        return one
+    chosen = np.flatnonzero((full >= np.median(full)) & (draw.random(len(full)) < 0.6))
     injected = np.isin(two, chosen)
     hurt = np.isin(one, np.unique(one[injected]))
     child = np.where(injected, two + int(one.max()) + 1, one)
@@ -77,9 +80,9 @@ def crossover(sizes: np.ndarray, capacity: int, one: np.ndarray, two: np.ndarray
 
 
 def mutate(sizes: np.ndarray, capacity: int, genes: np.ndarray, draw: np.random.Generator) -> np.ndarray:
-    """Empties some packs, mostly badly filled ones, and puts their items back."""
+    """Empties some packs, mostly badly filled ones for their population, and puts their items back."""
     full = fills(sizes, genes) / capacity
-    some = draw.random(len(full)) < np.clip(1.15 - full, 0.02, 0.9)
+    some = draw.random(len(full)) < np.clip(0.05 + 2 * (np.quantile(full, 0.8) - full), 0.02, 0.9)
     return _refill(sizes, capacity, genes, np.flatnonzero(some[genes]), draw)
 
 
@@ -90,10 +93,12 @@ def _evolve(rows: pd.DataFrame) -> pd.DataFrame:
     sizes = np.asarray(first["sizes"], dtype=np.int64)
     draw = np.random.default_rng([int(first["shard"]), island, epoch, capacity])
     people = [np.asarray(g, dtype=np.int64) for g in rows["genes"] if g is not None]
-    while len(people) < POPULATION:
-        people.append(_refill(sizes, capacity, np.zeros(len(sizes), np.int64), np.arange(len(sizes)), draw) if len(people) < 2 else mutate(sizes, capacity, people[draw.integers(len(people))], draw))
+    while len(people) < POPULATION:  # the first is best fit of the sorted items, the others are less and less in order
+        people.append(_refill(sizes, capacity, np.zeros(len(sizes), np.int64), np.arange(len(sizes)), draw, 0.1 * len(people)))
     fit = [fitness(sizes, g, capacity) for g in people]
     for _ in range(GENERATIONS):
+        if (fills(sizes, people[int(np.argmax(fit))]) < GOOD_FILL * capacity).sum() <= 1:
+            break  # all packs but one are full: there is nothing left to breed for
         parents = [max(draw.choice(len(people), 2, replace=False), key=lambda i: fit[i]) for _ in range(2)]
         for child in (crossover(sizes, capacity, people[parents[0]], people[parents[1]], draw), mutate(sizes, capacity, people[int(np.argmax(fit))], draw)):
             worst = int(np.argmin(fit))

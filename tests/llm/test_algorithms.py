@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +192,33 @@ def test_mix(spark):
     again = mix_sources(sizes, targets).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, got))
     assert mix_sources(sizes.limit(0), targets).count() == 0 and mix_sources(sizes, targets.limit(0)).count() == 0
+
+
+def test_breeding_beats_best_fit_on_items_of_a_third():
+    """Items that fill packs only three at a time: a known perfect packing, cut at random, which best fit decreasing misses."""
+    from lodestar.llm import packing as P
+
+    draw, capacity, triples = np.random.default_rng(8), 1000, 100
+    a = draw.integers(380, 491, triples)
+    b = draw.integers(260, 500 - (a - 380) // 2 - 130, triples)
+    sizes = np.concatenate([a, b, capacity - a - b]).astype(np.int64)
+    sizes = sizes[draw.permutation(len(sizes))]
+    plain, room = np.zeros(len(sizes), np.int64), []
+    P.best_fit(sizes, capacity, np.argsort(-sizes, kind="stable"), plain, room)
+    rows = pd.DataFrame([("p", capacity, 0, 0, 0, sizes.astype(np.int32), None, 0.0)], columns=["pack_name", "capacity", "shard", "island", "epoch", "sizes", "genes", "fit"])
+    for _ in range(P.EPOCHS):
+        rows = P._evolve(rows)
+        rows = rows[rows["island"] == 0].assign(island=0)
+    bred = min(int(g.max()) + 1 for g in rows["genes"])
+    for genes in rows["genes"]:
+        assert np.bincount(genes, weights=sizes).max() <= capacity
+    assert bred <= len(room) - 2, (bred, len(room))
+
+
+def test_crossover_works_on_badly_filled_packs():
+    from lodestar.llm import packing as P
+
+    draw, sizes = np.random.default_rng(3), np.full(40, 300)
+    one, two = np.arange(40) // 2, np.arange(40)[::-1] // 3
+    child = P.crossover(sizes, 1000, one, two, draw)
+    assert (child != one).any() and np.bincount(child, weights=sizes).max() <= 1000 and child.max() < one.max()
