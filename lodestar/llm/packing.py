@@ -93,17 +93,21 @@ def _evolve(rows: pd.DataFrame) -> pd.DataFrame:
     sizes = np.asarray(first["sizes"], dtype=np.int64)
     draw = np.random.default_rng([int(first["shard"]), island, epoch, capacity])
     people = [np.asarray(g, dtype=np.int64) for g in rows["genes"] if g is not None]
-    while len(people) < POPULATION:  # the first is best fit of the sorted items, the others are less and less in order
-        people.append(_refill(sizes, capacity, np.zeros(len(sizes), np.int64), np.arange(len(sizes)), draw, 0.1 * len(people)))
+    new = lambda disorder: _refill(sizes, capacity, np.zeros(len(sizes), np.int64), np.arange(len(sizes)), draw, disorder)
+    people = people or [new(0.0)]  # best fit of the sorted items; those that follow are less and less in order
     fit = [fitness(sizes, g, capacity) for g in people]
-    for _ in range(GENERATIONS):
-        if (fills(sizes, people[int(np.argmax(fit))]) < GOOD_FILL * capacity).sum() <= 1:
-            break  # all packs but one are full: there is nothing left to breed for
-        parents = [max(draw.choice(len(people), 2, replace=False), key=lambda i: fit[i]) for _ in range(2)]
-        for child in (crossover(sizes, capacity, people[parents[0]], people[parents[1]], draw), mutate(sizes, capacity, people[int(np.argmax(fit))], draw)):
-            worst = int(np.argmin(fit))
-            if (value := fitness(sizes, child, capacity)) > fit[worst]:
-                people[worst], fit[worst] = child, value
+    full = lambda: (fills(sizes, people[int(np.argmax(fit))]) < GOOD_FILL * capacity).sum() <= 1
+    if not full():  # where all packs but one are full, there is nothing to breed for
+        people += [new(0.1 * i) for i in range(len(people), POPULATION)]
+        fit = [fitness(sizes, g, capacity) for g in people]
+        for _ in range(GENERATIONS):
+            parents = [max(draw.choice(len(people), 2, replace=False), key=lambda i: fit[i]) for _ in range(2)]
+            for child in (crossover(sizes, capacity, people[parents[0]], people[parents[1]], draw), mutate(sizes, capacity, people[int(np.argmax(fit))], draw)):
+                worst = int(np.argmin(fit))
+                if (value := fitness(sizes, child, capacity)) > fit[worst]:
+                    people[worst], fit[worst] = child, value
+            if full():
+                break
     best = np.argsort(fit)[::-1][:ELITE]
     out = [(*first[["pack_name", "capacity", "shard"]], island, epoch + 1, first["sizes"], people[i].astype(np.int32), fit[i]) for i in best]
     out.append((*first[["pack_name", "capacity", "shard"]], (island + 1) % ISLANDS, epoch + 1, first["sizes"], people[best[0]].astype(np.int32), fit[best[0]]))
