@@ -1,7 +1,7 @@
 """Problem 9: sentence units of documents in any script.
 
-Method: a pushdown automaton. A first pass over the lines tells list items, headings and loose lines, which are units of
-their own, from running text that was wrapped. Over running text the automaton keeps a stack of open quotations and
+Method: a pushdown automaton. A first pass over the lines, with a stack of list levels, tells list items (with their more
+deeply indented lines), headings and loose lines, which are units of their own, from running text that was wrapped. Over running text the automaton keeps a stack of open quotations and
 brackets; sentence ends count only with an empty stack, or where the closing of a quotation that held a whole sentence
 empties it. Dots are looked up backwards in a trie of abbreviations. Thai, which has no sentence mark, is cut at blanks
 between words that do not continue a sentence. Only offsets leave the automaton.
@@ -10,7 +10,9 @@ between words that do not continue a sentence. Only offsets leave the automaton.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ from lodestar.runtime import parallelism, table
 
 # Abbreviations after which a sentence goes on whatever follows, and those that may also end one.
 GO_ON = (
-    "dr mr mrs ms prof st sr sra dra srta hr fr m mm mme mlle me e.g i.e cf vs approx no nos fig vol p pp pg ed eds nr art pág págs "
-    "p.ex p.ej c.-à-d z.b d.h u.a ca bzw usf vgl abb bd т.е т.н см рис стр ул гл π.χ δηλ σελ κ. αρ д-р д डॉ श्री د ดร น.ส ม.ล gen col capt lt rev hon sen rep gov ee"
+    "dr mr mrs ms prof st sr sra dra srta hr fr m mm mme mlle me e.g i.e cf vs approx no nos fig sect vol p pp pg ed eds nr art pág págs "
+    "p.ex p.ej c.-à-d z.b d.h u.a ca bzw usf vgl abb bd т.е т.н см рис стр ул гл π.χ δηλ σελ κ. αρ д-р д डॉ श्री د ดร น.ส ม.ล gen col capt lt maj sgt lic ing rev hon sen rep gov ee"
 ).split()
 MAY_END = (
     "etc inc ltd co corp bros jr u.s u.k e.u a.m p.m jan feb mar apr jun jul aug sep sept oct nov dec usw usf uu ee.uu "
@@ -39,7 +41,7 @@ QUOTES = set("“„«‹「『\"")
 WIDE_STOPS = set("。！？")
 STOPS = set(".!?…。！？।॥؟‼⁇⁈⁉۔።")
 EVENT = re.compile("[.!?…。！？।॥؟‼⁇⁈⁉۔።;\"“”„«»‹›「」『』《》（）()\\[\\]{}【】]")
-LIST_LINE = re.compile(r"\s*(?:[-*•‣▪◦·✓✔→–]\s|\d{1,2}[.)]\s|#{1,6}\s|[a-z]\)\s)")
+LIST_LINE = re.compile(r"\s*(?:[-*•‣▪◦·✓✔→–]\s|\d{1,3}[.)]\s|#{1,6}\s|[a-z]\)\s)")
 LABEL_LINE = re.compile(r"\s*(?:[QA]|[FR]|[PR]|В|О|Ε|Α|س|ج|问|答|問)\s?[:：]\s?\S")
 END_OF_TEXT = re.compile(r"[.!?…。！？।॥؟‼⁇⁈⁉۔።;:：][\"”’“»›」』）)\]}\s️\U0001F300-\U0001FAFF☀-➿]*$")
 EMOJI = re.compile(r"[\s﻿]*(?:[\U0001F000-\U0001FAFF☀-➿⬀-⯿][️‍\U0001F3FB-\U0001F3FF]*)+")
@@ -47,7 +49,6 @@ CASELESS = re.compile("[぀-ヿ㐀-鿿가-힯֐-ࣿऀ-෿฀-໿]")
 CJK = re.compile("[぀-ヿ㐀-鿿]")
 THAI = re.compile("[฀-๿]")
 THAI_GAP = re.compile(r"\s+")
-WORD_BEFORE = re.compile(r"\S*$")
 
 
 def _trie(words: list[str], kind: int, into: dict) -> dict:
@@ -82,6 +83,13 @@ def abbreviation(text: str, dot: int, start: int) -> int:
     return found
 
 
+def _word_start(text: str, start: int, end: int) -> int:
+    """Where the word that ends at ``end`` starts, not before ``start``."""
+    while end > start and not text[end - 1].isspace():
+        end -= 1
+    return end
+
+
 class _Automaton:
     """Reads one stretch of running text and gives the ends of its sentences."""
 
@@ -173,7 +181,7 @@ class _Automaton:
                 kind = 0  # the answer, not the number
             if kind == 2 or (kind == 1 and (following.isdigit() or not apart and CASELESS.match(following))):
                 return False
-            before = WORD_BEFORE.search(text, max(self.begin, at - 40), at).group()
+            before = text[_word_start(text, self.begin, at) : at]
             if before.isdigit() and len(before) < 3 and text[end : self.stop].lstrip().startswith(tuple(GERMAN_MONTHS)):
                 return False
             if not apart:
@@ -221,7 +229,7 @@ def _thai_ends(text: str, start: int, stop: int) -> list[int]:
     for gap in THAI_GAP.finditer(text, start, stop):
         if gap.end() >= stop or gap.start() <= begin:
             continue
-        before = WORD_BEFORE.search(text, begin, gap.start()).group()
+        before = text[_word_start(text, begin, gap.start()) : gap.start()]
         after = re.compile(r"\S*").match(text, gap.end(), stop).group()
         if not before or not after or before.startswith(("-", "•", "*", "#")):
             continue
@@ -243,6 +251,12 @@ def _thai_ends(text: str, start: int, stop: int) -> list[int]:
     return ends
 
 
+@lru_cache(8)
+def _subjects(text: str) -> Counter:
+    """How often a name of one or two words is what a Thai text speaks of, counted once for each text."""
+    return Counter(m.group(1) for n in (0, 1) for m in re.finditer(rf"(?<!\S)(?=([A-Z][\w-]*(?: [A-Z][\w-]*){{{n}}}) (?:แล้ว|เป็น))", text))
+
+
 def _name_starts(text: str, begin: int, end: int, at: int, stop: int) -> bool:
     """Whether the name at ``at``, right after another name, begins a sentence about itself."""
     ahead = re.compile(r"((?:[A-Z][\w-]*\s){1,2})เป็น").match(text, at, stop)
@@ -250,25 +264,42 @@ def _name_starts(text: str, begin: int, end: int, at: int, stop: int) -> bool:
     if not ahead or not behind:
         return False
     name = ahead.group(1).strip()
-    others = text[:begin] + text[at + len(name) :]
-    return bool(re.search(rf"(?:ใช้ |^|\s){re.escape(name)} (?:แล้ว|เป็น)", others)) or len(name.split()) == 2 or len(behind.group(1).split()) == 2
+    return _subjects(text)[name] > 1 or len(name.split()) == 2 or len(behind.group(1).split()) == 2
 
 
 def _stretches(text: str) -> Iterator[tuple[int, int, bool]]:
-    """(start, stop, whole): stretches of text no sentence leaves; ``whole`` ones are units as they are."""
+    """(start, stop, whole): stretches of text no sentence leaves; ``whole`` ones are units as they are.
+
+    A stack holds the indents of the list items that are open. An item begins at its marker and takes in the unmarked lines
+    that are indented more deeply; items of no deeper indent, and lines that are not, close it.
+    """
     lines, at = [], 0
     for line in text.split("\n"):
         lines.append((at, at + len(line)))
         at += len(line) + 1
     block: list[tuple[int, int]] = []
+    levels: list[int] = []
+    item: tuple[int, int] | None = None
     for start, stop in [*lines, (at, at)]:
-        line = text[start:stop].strip().strip("﻿").strip()
+        raw = text[start:stop]
+        line = raw.strip().strip("﻿").strip()
         listed = bool(line) and bool(LIST_LINE.match(line + " "))
-        if not line or listed or LABEL_LINE.match(line):
+        labelled = bool(LABEL_LINE.match(line))
+        indent = len(raw) - len(raw.lstrip())
+        if item and line and not listed and not labelled and indent > levels[-1]:
+            item = (item[0], stop)
+            continue
+        if item:
+            yield *item, True
+            item = None
+        while levels and (not listed or levels[-1] >= indent):
+            levels.pop()
+        if not line or listed or labelled:
             yield from _block(text, block)
             block = []
         if listed:
-            yield start, stop, True
+            levels.append(indent)
+            item = (start, stop)
         elif line:
             block.append((start, stop))
     yield from _block(text, block)

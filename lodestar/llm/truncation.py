@@ -2,7 +2,8 @@
 
 Method: the length of every value is recomputed under other encodings (UTF-8 bytes, UTF-16 units), with entities escaped,
 with JSON escapes and with other line ends; grouped by field, source and measure, lengths at which values pile up with
-nothing beyond them expose storage limits. Then the endings are inspected: a mark of a cut, a broken character, a last
+nothing beyond them expose storage limits. A value at a limit without an end of its own, or with a
+dot that may stand inside a sentence, is cut. Then the endings of all are inspected: a mark of a cut, a broken character, a last
 sentence without its end, or a single phrase whose last word is the start of another word, never ends a sentence elsewhere,
 or which starts as sentences do. All of it is built of Spark expressions and aggregates over all values.
 """
@@ -96,13 +97,16 @@ def _endings(values: DataFrame) -> DataFrame:
     )
     word = lambda text: F.lower(F.regexp_replace(text, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
     return values.select(
-        "field", "row_key", "row_version", "site", "lengths", "v", verdict.alias("verdict"), listed.alias("listed"),
+        "field", "row_key", "row_version", "site", "lengths", "v", verdict.alias("verdict"), listed.alias("listed"), v.rlike(r"(?:\d|\b\p{L}|\b(?:approx|incl|excl|max|min|vol|ext|dept|est|resp|inkl|evtl))\.$").alias("dotted"),
         word(F.regexp_extract(part, r"(\S+)$", 1)).alias("last_word"), F.regexp_extract(part, r"^(\S+\s+\S+)", 1).alias("opening"),
     )
 
 
-def _vocabulary(values: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(last_word, ends, goes_on), (last_word) that begin longer words, and (opening, sentences): counts over all values."""
+def _vocabulary(values: DataFrame, open_words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(last_word, ends, goes_on), (last_word) that begin longer words, and (opening, sentences): counts over all values.
+
+    Words are cut into beginnings no longer than the longest of ``open_words``, for which they are looked up.
+    """
     sentences = values.select(F.posexplode(F.split("v", f"(?<=[.!?])[{CLOSE}]?\\s+")).alias("no", "s"), F.col("v"))
     tokens = values.select(F.explode(F.slice(F.split("v", "\\s+"), F.lit(1), F.greatest(F.size(F.split("v", "\\s+")) - 1, F.lit(0)))).alias("t"))
     closing = values.where(F.col("v").rlike(f"[{STOP}][{CLOSE}]*$")).select(F.regexp_extract("v", r"(\S+)$", 1).alias("t"))
@@ -110,9 +114,11 @@ def _vocabulary(values: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.lower(F.regexp_replace("t", "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", "")).alias("last_word"), F.col("t").rlike(f"[{STOP}][{CLOSE}]*$").alias("at_end")
     )
     words = cut_lineage(
-        marked.where("last_word <> '' AND length(last_word) <= 40").groupBy("last_word").agg(F.count_if("at_end").alias("ends"), F.count_if(~F.col("at_end")).alias("goes_on"))
+        marked.where("last_word <> ''").groupBy("last_word").agg(F.count_if("at_end").alias("ends"), F.count_if(~F.col("at_end")).alias("goes_on"))
     )
-    starts = words.where("length(last_word) > 1").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("last_word") - 1), lambda i: F.substring("last_word", F.lit(1), i))).alias("last_word"))
+    longest = open_words.agg(F.coalesce(F.max(F.length("last_word")), F.lit(0)).alias("longest"))
+    begun = words.where("length(last_word) > 1").join(F.broadcast(longest), F.lit(True)).where("longest > 0")  # one row
+    starts = begun.select(F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("last_word") - 1, F.col("longest"))), lambda i: F.substring("last_word", F.lit(1), i))).alias("last_word"))
     finished = sentences.where(F.col("s").rlike("[.!?]$") | F.col("s").rlike(f"[.!?][{CLOSE}]$"))
     openings = finished.select(F.regexp_extract("s", r"^(\S+\s+\S+)", 1).alias("opening")).where("opening <> ''").groupBy("opening").agg(F.count("*").alias("sentences"))
     return words, starts.distinct(), openings.where("sentences >= 2")
@@ -130,8 +136,8 @@ def cut_values(values: DataFrame) -> DataFrame:
     limits = hidden_limits(ended)
     of_field = limits.where("site IS NULL").groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("field_limits"))
     of_site = limits.where("site IS NOT NULL").groupBy("field", "site").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("site_limits"))
-    words, starts, openings = _vocabulary(ended)
     open_words = ended.where("verdict IS NULL").select("last_word").distinct()
+    words, starts, openings = _vocabulary(ended, open_words)
     facts = (
         open_words.join(words, "last_word", "left")
         .join(starts.join(open_words, "last_word", "left_semi").withColumn("begins_word", F.lit(True)), "last_word", "left")
@@ -142,7 +148,8 @@ def cut_values(values: DataFrame) -> DataFrame:
     )  # one row for each of the few fields, so a broadcast
     hit = lambda limits_: F.filter(F.map_keys("lengths"), lambda m: F.coalesce(F.element_at("lengths", m) == F.try_element_at(F.col(limits_), m), F.lit(False)))
     told = told.withColumn("limit_measure", F.coalesce(F.get(hit("site_limits"), F.lit(0)), F.get(hit("field_limits"), F.lit(0))))
-    sure = told.where("verdict")
+    # A length at its source's limit overrules a dot that may stand inside: after one letter, a number or an abbreviation.
+    sure = told.where("verdict OR NOT verdict AND dotted AND limit_measure IS NOT NULL")
     phrases = told.where("verdict IS NULL").join(facts, "last_word", "left").join(openings, "opening", "left")
     inside = f"coalesce(ends, 0) < {RARE_END} * (coalesce(ends, 0) + coalesce(goes_on, 0)) AND NOT listed"
     broken_word = f"last_word <> '' AND ({inside} OR coalesce(ends + goes_on, 0) = 0 AND coalesce(begins_word, false))"

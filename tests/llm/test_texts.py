@@ -27,6 +27,8 @@ def units(text):
         ("You get a, b, etc. 🙂 The end.", ["You get a, b, etc. 🙂", "The end."]),
         ("See no. 4 (i.e. the one on p. 3). (It is small.) Fine.", ["See no. 4 (i.e. the one on p. 3).", "(It is small.)", "Fine."]),
         ("## Notes\n- one. two\n- three\nSome text.", ["## Notes", "- one. two", "- three", "Some text."]),
+        ("- first item that\n  goes on. Here too\n  - nested one\n    and its rest\n  - second\n- last\nText after. More.", ["- first item that\n  goes on. Here too", "- nested one\n    and its rest", "- second", "- last", "Text after.", "More."]),
+        ("See Sect. 3 for more. Maj. Lee wrote it.", ["See Sect. 3 for more.", "Maj. Lee wrote it."]),
         ("Q: Does it work?\nA: No, not yet.", ["Q: Does it work?", "A: No, not yet."]),
         ("Paid plans add form builders and a long row of other\nthings that nobody ever asked for in the first place and\nnever will. Next.", ["Paid plans add form builders and a long row of other\nthings that nobody ever asked for in the first place and\nnever will.", "Next."]),
         ("price went to $39 lol\nanyone got it working", ["price went to $39 lol", "anyone got it working"]),
@@ -188,6 +190,27 @@ def test_cut_values(spark):
     assert cut_values(table.limit(0)).count() == 0
 
 
+def test_limits_decide_what_endings_cannot(spark, monkeypatch):
+    from lodestar.llm import truncation
+
+    # A store of 37 characters: these stop after a word that ends sentences as often as not, or after a dot inside one.
+    words = ["drafts for small teams", "mail for teams"]
+    whole = [f"It sorts {w} in less than {n} days for teams." for n in range(10, 40) for w in words] + ["Notes for small teams", "Page builder for shops with many teams"]
+    cut = [f"{x} builder of pages and mail for teams" for x in "ABCDE"] + ["Mails are sorted in three days, incl."]
+    assert {len(c) for c in cut} == {37}
+    table = _values(spark, cut, "small").unionByName(_values(spark, whole, "large").withColumn("row_key", F.concat(F.lit("w"), "row_key")))
+    found = {r["row_key"] for r in cut_values(table).collect() if not r["row_key"].startswith("w")}
+    monkeypatch.setattr(truncation, "hidden_limits", lambda values, real=truncation.hidden_limits: real(values.limit(0)))
+    blind = {r["row_key"] for r in cut_values(table).collect() if not r["row_key"].startswith("w")}
+    assert found == set(map(str, range(len(cut)))) and "5" not in blind and len(blind) < len(found)
+
+
+def test_a_cut_inside_a_very_long_word(spark):
+    long = "donau" * 12 + "fahrt"
+    table = _values(spark, [f"We like the {long} a lot, said {n} people." for n in range(6)] + [f"Tour of the {long[:50]}"])
+    assert "6" in {r["row_key"] for r in cut_values(table).collect()}
+
+
 def test_hidden_limits_in_bytes(spark):
     texts = ["é" * n for n in range(5, 40)] + ["é" * 40 + "x" * k + "é" * (20 - k // 2) for k in (0, 2, 4, 6, 8, 10)]
     found = {(r["site"], r["measure"]): r["limit"] for r in hidden_limits(with_lengths(_values(spark, texts))).collect()}
