@@ -42,6 +42,32 @@ def embed(rows: DataFrame, text: str, provider: Callable[[list[str]], list[list[
     return rows.mapInPandas(work, f"{kinds}, vector array<double>, error string")
 
 
+def fetch(rows: DataFrame, url: str, provider: Callable[[str], tuple[int, str]] | None = None) -> DataFrame:
+    """Adds status, body and error of the page at each address, from a provider that turns an address into status and text.
+
+    Statuses of 400 and more are errors without a body; null and blank addresses are not asked for. Without a provider the
+    page is a short one that depends on the address alone.
+    """
+    call = provider or (lambda address: (200, f"<html><title>{address}</title><body>{hashlib.sha256(address.encode()).hexdigest()}</body></html>"))
+
+    def one(address) -> tuple[int | None, str | None, str | None]:
+        if not isinstance(address, str) or not address.strip():
+            return None, None, "no address"
+        try:
+            status, body = call(address)
+        except Exception as error:  # this page only
+            return None, None, str(error)
+        return (status, None, f"status {status}") if status >= 400 else (status, body, None)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows_ in batches:
+            pages = pd.DataFrame([one(a) for a in rows_[url]], columns=["status", "body", "error"], index=rows_.index)
+            yield rows_.assign(status=pages["status"].astype("Int32"), body=pages["body"], error=pages["error"])
+
+    kinds = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
+    return rows.mapInPandas(work, f"{kinds}, status int, body string, error string")
+
+
 def answer(rows: DataFrame, prompt: str, schema: str, provider: Callable[[str], str]) -> DataFrame:
     """Adds answer (parsed by ``schema``) and error for a provider that turns a prompt into JSON text."""
 

@@ -14,11 +14,11 @@ from lodestar.schemas import RUNS
 Step = tuple[str, Callable[[dict[str, DataFrame]], dict[str, DataFrame]], bool]
 
 
-def run_steps(spark: SparkSession, steps: list[Step], inputs: dict[str, DataFrame], folder: str, version: str, start: str | None = None, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+def run_steps(spark: SparkSession, steps: list[Step], inputs: dict[str, DataFrame], folder: str, version: str, start: str | None = None, dry_run: bool = False, stop_on_warning: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """The tables after all steps, and a row for each step that ran.
 
     A step is (name, function, critical). What it gives is written as a new version and read again, so lineage ends there; a
-    dry run writes nothing. A critical failure ends the run, another one is only noted. ``start`` skips the steps before it.
+    dry run writes nothing. A critical failure ends the run; another one is only noted, or ends it too if ``stop_on_warning``. ``start`` skips the steps before it.
     """
     tables, outcomes = dict(inputs), []
     names = [name for name, _, _ in steps]
@@ -30,6 +30,6 @@ def run_steps(spark: SparkSession, steps: list[Step], inputs: dict[str, DataFram
         except Exception as error:
             message = str(error)[:500]
         outcomes.append((name, message is None, critical, message, began, time.monotonic() - clock))
-        if message is not None and critical:
+        if message is not None and (critical or stop_on_warning):
             break
     return tables, spark.createDataFrame(outcomes, RUNS)

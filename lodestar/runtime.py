@@ -36,6 +36,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so that lost executors cannot take it away."""
     ensure_checkpoint_dir(df.sparkSession)
+    let_workers_import(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -51,6 +52,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     was asked for. A grouping by the same keys needs no further shuffle.
     """
     spark = df.sparkSession
+    let_workers_import(spark)
     return df.repartition(max(parallelism(spark), 4 * spark.sparkContext.defaultParallelism), *keys)
 
 
@@ -59,5 +61,6 @@ def balance(rows: DataFrame) -> DataFrame:
 
     A large table has many partitions and is not shuffled; a small one in a few files would keep most cores idle.
     """
+    let_workers_import(rows.sparkSession)
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows if rows.rdd.getNumPartitions() >= 2 * cores else rows.repartition(max(parallelism(rows.sparkSession), 2 * cores))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,12 +17,12 @@ def read_json_list(spark: SparkSession, path: str, schema: T.StructType, strict:
     """Rows of a file (or folder of files) that holds one JSON array.
 
     Trailing NUL bytes are dropped. A strict scan fails if a file is no array of objects; a tolerant one takes it as empty,
-    and a missing path as well.
+    and a missing path as well; any other failure to read is raised.
     """
     try:
         whole = spark.read.text(path, wholetext=True)
-    except Exception:
-        if strict:
+    except AnalysisException as error:
+        if strict or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
     text = F.regexp_replace(F.col("value"), "[\\x00\\s]+$", "")
@@ -66,7 +70,37 @@ def write_json_list(table: DataFrame, path: str) -> None:
     table.repartitionByRange(table.columns[0]).sortWithinPartitions(table.columns[0]).write.mode("errorifexists").json(path)
 
 
+def write_json_array(table: DataFrame, path: str) -> None:
+    """Writes rows as JSON arrays, one in each part file, which :func:`read_json_list` reads back as one table.
+
+    Lines are streamed: no task holds its array. Text is kept as it is, null fields are left out.
+    """
+
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = True
+        for batch in batches:
+            texts = batch["value"].tolist()
+            if texts:
+                yield pd.DataFrame({"value": [("[" if first and not i else ",") + t for i, t in enumerate(texts)]})
+                first = False
+        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
+    table.select(F.to_json(F.struct(*table.columns)).alias("value")).mapInPandas(lines, "value string").write.mode("errorifexists").text(path)
+
+
 def report(sections: DataFrame, day: str) -> DataFrame:
     """One Markdown line for each section of a health check, with its number of problems; at most a line a section."""
     totals = sections.groupBy("section").agg(F.count("*").alias("n"))
     return totals.select(F.format_string("- %s (%s): %d", F.col("section"), F.lit(day), F.col("n")).alias("line")).orderBy("line")
+
+
+def full_report(sections: DataFrame, day: str) -> DataFrame:
+    """(place, section, line): the whole report of a health check as ordered lines: a total, and a heading and its items for each section.
+
+    Lines are rows, so that a section of any length stays spread over tasks; order by section (null first), place and line.
+    """
+    totals = sections.groupBy("section").agg(F.count("*").alias("n"))
+    title = sections.agg(F.lit(None).cast("string").alias("section"), F.lit(0).alias("place"), F.format_string("# Health %s: %d problems", F.lit(day), F.count("*")).alias("line"))
+    heads = totals.select("section", F.lit(1).alias("place"), F.format_string("## %s: %d", "section", "n").alias("line"))
+    items = sections.select("section", F.lit(2).alias("place"), F.concat(F.lit("- "), F.concat_ws(" ", "slug", F.nullif("detail", F.lit("")))).alias("line"))
+    return title.unionByName(heads).unionByName(items)
