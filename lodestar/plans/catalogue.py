@@ -26,9 +26,9 @@ def _enriched(spark: SparkSession, root: str, *columns: str) -> DataFrame:
 
 
 def page_hashes(spark: SparkSession, root: str) -> DataFrame:
-    """Hash of what a page is enriched from."""
-    rows = table(spark, root, "raw_tools").distinct()
-    return rows.select("slug", "collected_at", content_hash(F.col("name"), F.col("raw_title"), F.col("raw_meta_desc"), F.col("raw_text")).alias("content_hash"))
+    """Hash of what a page is enriched from; copies drop out by their hash, so no text is shuffled."""
+    digest = content_hash(F.col("name"), F.col("raw_title"), F.col("raw_meta_desc"), F.col("raw_text"))
+    return table(spark, root, "raw_tools").select("slug", "collected_at", digest.alias("content_hash")).distinct()
 
 
 def delta_changed(spark: SparkSession, root: str) -> DataFrame:
@@ -44,12 +44,12 @@ def html_extract(spark: SparkSession, root: str) -> DataFrame:
     """Title, description and text by patterns, from pages put together from their parts."""
     part = lambda c: F.coalesce(F.regexp_replace(c, "[<>\"]", ""), F.lit(""))
     html = F.concat(F.lit("<html><head><TITLE lang='en'>"), part("raw_title"), F.lit("</TITLE><meta content=\""), part("raw_meta_desc"), F.lit("\" name=\"description\"></head><body><p>"), part("raw_text"), F.lit("</p></body></html>"))
-    rows = table(spark, root, "raw_tools").distinct().select("slug", "collected_at", html.alias("html"))
+    rows = table(spark, root, "raw_tools").select("slug", "collected_at", html.alias("html"))
     text = X.clean(F.regexp_replace("html", "(?s)<[^>]+>", " "))
     return rows.select(
         "slug", "collected_at", X.html_title(F.col("html")).alias("title"), X.html_description(F.col("html")).alias("description"),
         F.length(X.html_text(F.col("html"))).alias("text_length"), F.length(text).alias("whole_length"), F.sha2(text, 256).alias("text_hash"),
-    )
+    ).distinct()
 
 
 def html_dom(spark: SparkSession, root: str) -> DataFrame:
@@ -59,15 +59,14 @@ def html_dom(spark: SparkSession, root: str) -> DataFrame:
         F.lit("<html><head><style>p > a { color: red }</style></head><body><header><nav>Home<ul><li>Docs</li></ul></nav> Top</header><script>if (1 < 2) x = '</p>';</script><div><p class='a>b'>"),
         part("raw_text"), F.lit(" &amp;&nbsp;more<br></div><footer><nav>Terms</nav>"), F.coalesce("vendor", F.lit("")), F.lit("</footer></body>"),
     )
-    rows = table(spark, root, "raw_tools").distinct().select("slug", "collected_at", X.html_dom_text(html, None).alias("text"))
-    return rows.select("slug", "collected_at", F.length("text").alias("text_length"), F.sha2("text", 256).alias("text_hash"))
+    rows = table(spark, root, "raw_tools").select("slug", "collected_at", X.html_dom_text(html, None).alias("text"))
+    return rows.select("slug", "collected_at", F.length("text").alias("text_length"), F.sha2("text", 256).alias("text_hash")).distinct()
 
 
 def thin_content(spark: SparkSession, root: str) -> DataFrame:
     """Intros with fewer than 200 characters on one line, and all of them cut to 1,600."""
-    rows = table(spark, root, "page_seo").distinct()
     body = X.clean(F.col("intro_md"))
-    return rows.select("id", (F.length(body) < 200).alias("thin"), F.sha2(X.cut(body, 1600, trimmed=True), 256).alias("cut_hash"))
+    return table(spark, root, "page_seo").select("id", (F.length(body) < 200).alias("thin"), F.sha2(X.cut(body, 1600, trimmed=True), 256).alias("cut_hash")).distinct()
 
 
 def seo_fallback(spark: SparkSession, root: str) -> DataFrame:
@@ -80,7 +79,7 @@ def seo_fallback(spark: SparkSession, root: str) -> DataFrame:
 
 def score_normalize(spark: SparkSession, root: str) -> DataFrame:
     """Scores on one scale, with a default and without."""
-    rows = table(spark, root, "enriched_tools").distinct()
+    rows = table(spark, root, "enriched_tools").select("slug", "enriched_at", "quality_score").distinct()
     return rows.select("slug", "enriched_at", V.score_or_default(F.col("quality_score")).alias("score"), V.score_or_null(F.col("quality_score")).alias("score_or_null"), V.share(F.col("quality_score")).alias("share"))
 
 
@@ -92,7 +91,7 @@ def slug_labels(spark: SparkSession, root: str) -> DataFrame:
 
 def compare_keys(spark: SparkSession, root: str) -> DataFrame:
     """Keys and symmetric hashes of the pairs that are alternatives of each other, both known."""
-    tools = latest(table(spark, root, "tools").distinct(), ["id"], F.desc_nulls_last("updated_at"), F.desc("slug")).select("id", "slug", X.fingerprint(F.col("slug"), F.col("name"), F.col("pricing")).alias("fp"))
+    tools = latest(table(spark, root, "tools"), ["id"], F.desc_nulls_last("updated_at"), F.desc("slug")).select("id", "slug", X.fingerprint(F.col("slug"), F.col("name"), F.col("pricing")).alias("fp"))
     pairs = table(spark, root, "alternatives").where("tool_id <> alternative_id").select(F.least("tool_id", "alternative_id").alias("x"), F.greatest("tool_id", "alternative_id").alias("y")).distinct()
     a, b = (tools.select(F.col("id").alias(k), F.col("slug").alias(k + "_slug"), F.col("fp").alias(k + "_fp")) for k in "xy")
     rows = pairs.join(a, "x").join(b, "y")
@@ -173,7 +172,7 @@ def health_sections(spark: SparkSession, root: str) -> DataFrame:
     missing = V.missing_names(seo_title=F.col("seo_title"), seo_description=F.col("seo_description"), description_md=F.col("description_md"))
     fields = rich.select("slug", F.lit("missing").alias("section"), missing.alias("detail")).where("detail <> ''")
     score = rich.where("quality_score IS NULL OR quality_score < 0 OR quality_score > 10").select("slug", F.lit("score").alias("section"), F.lit("").alias("detail"))
-    tools = table(spark, root, "tools").distinct()
+    tools = table(spark, root, "tools").select("id", "slug", "updated_at").distinct()
     now = tools.agg(F.max("updated_at").alias("now"))
     stale = tools.join(F.broadcast(now), F.lit(True)).where(V.older_than(F.col("updated_at"), F.col("now"), 30)).select("slug", F.lit("stale").alias("section"), F.date_format("updated_at", "yyyy-MM-dd").alias("detail"))  # one row
     known = table(spark, root, "tool_embeddings").select("slug").distinct()

@@ -120,7 +120,7 @@ def pair_reasons(spark: SparkSession, root: str) -> DataFrame:
 
 def dedup_latest(spark: SparkSession, root: str) -> DataFrame:
     """The latest match of every slug."""
-    return latest(table(spark, root, "dedup_map").where("slug IS NOT NULL").distinct(), ["slug"], F.desc("detected_at"), F.asc_nulls_first("canonical_slug"), F.asc_nulls_first("reason")).select("slug", "canonical_slug", "detected_at")
+    return latest(table(spark, root, "dedup_map").where("slug IS NOT NULL").select("slug", "canonical_slug", "detected_at", "reason"), ["slug"], F.desc("detected_at"), F.asc_nulls_first("canonical_slug"), F.asc_nulls_first("reason")).select("slug", "canonical_slug", "detected_at")
 
 
 _RAW = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"

@@ -24,7 +24,7 @@ def customers_left(spark: SparkSession, root: str) -> DataFrame:
 
 def two_hop_names(spark: SparkSession, root: str) -> DataFrame:
     """Both names of each pair of alternatives that are published and not the same, each pair once."""
-    tools = latest(table(spark, root, "tools").distinct(), ["id"], F.desc_nulls_last("updated_at"), F.desc("slug")).where("status = 'published'").select("id", "slug")
+    tools = latest(table(spark, root, "tools"), ["id"], F.desc_nulls_last("updated_at"), F.desc("slug")).where("status = 'published'").select("id", "slug")
     a, b = tools.select(F.col("id").alias("tool_id"), F.col("slug").alias("tool_slug")), tools.select(F.col("id").alias("alternative_id"), F.col("slug").alias("alternative_slug"))
     pairs = table(spark, root, "alternatives").select("tool_id", "alternative_id").distinct()
     return pairs.join(a, "tool_id").join(b, "alternative_id").where("tool_slug <> alternative_slug").select("tool_slug", "alternative_slug").distinct()
