@@ -138,10 +138,15 @@ def pair_update(spark: SparkSession, root: str) -> DataFrame:
 
 
 def category_versions(spark: SparkSession, root: str) -> DataFrame:
-    """Of each primary category its tools, and the hash that changes with its members but not with their order."""
+    """Of each primary category its tools, and the hash that changes with its members but not with their order.
+
+    The members' hashes (60 bits of each) are summed, so that sums are combined before the shuffle and no list is collected.
+    """
     pages = _pages(spark, root, "primary_category").where("primary_category IS NOT NULL")
-    lists = pages.groupBy("primary_category").agg(F.count("*").alias("tools"), F.array_join(F.array_sort(F.collect_set("slug")), "|").alias("members"))  # slugs of one category, one short row each
-    return lists.select("primary_category", "tools", F.sha2(F.concat(F.lit("v1"), "primary_category", "members"), 256).alias("content_hash"))
+    bits = F.conv(F.substring(F.sha2("slug", 256), 1, 15), 16, 10).cast("decimal(20,0)")
+    sums = pages.groupBy("primary_category").agg(F.count("*").alias("tools"), F.sum(bits).alias("members"))
+    digest = F.concat_ws("|", F.lit("v1"), "primary_category", F.col("tools").cast("string"), F.coalesce(F.col("members").cast("string"), F.lit("0")))
+    return sums.select("primary_category", "tools", F.sha2(digest, 256).alias("content_hash"))
 
 
 def alias_resolved(spark: SparkSession, root: str) -> DataFrame:
@@ -202,7 +207,8 @@ FROM l UNION ALL SELECT slug, 'review', (SELECT max("at") FROM l) FROM l GROUP B
 WITH r AS (SELECT tool_id, alternative_id, max(reason) AS reason FROM alternatives WHERE tool_id IS NOT NULL AND alternative_id IS NOT NULL GROUP BY ALL)
 SELECT a.tool_id, a.alternative_id, CASE WHEN {_CLEAN.format('a.reason')} = '' THEN b.reason ELSE a.reason END AS reason
 FROM r a LEFT JOIN r b ON a.tool_id = b.alternative_id AND a.alternative_id = b.tool_id AND {_CLEAN.format('b.reason')} <> ''"""),
-    "category_versions": (category_versions, f"WITH {_PAGES} SELECT primary_category, count(*) AS tools, sha256('v1' || primary_category || string_agg(slug, '|' ORDER BY slug)) AS content_hash FROM pages WHERE primary_category IS NOT NULL GROUP BY 1"),
+    "category_versions": (category_versions, f"""WITH {_PAGES} SELECT primary_category, count(*) AS tools,
+sha256('v1|' || primary_category || '|' || count(*) || '|' || coalesce(sum(CAST('0x' || left(sha256(slug), 15) AS BIGINT)), 0)) AS content_hash FROM pages WHERE primary_category IS NOT NULL GROUP BY 1"""),
     "alias_resolved": (alias_resolved, """
 WITH a AS (SELECT slug, min(canonical_slug) AS name FROM dedup_map WHERE slug <> canonical_slug GROUP BY 1), k AS (SELECT DISTINCT page_key FROM page_seo WHERE page_key LIKE '%-vs-%'),
 s AS (SELECT page_key, unnest(string_split(page_key, '-vs-')) AS slug, generate_subscripts(string_split(page_key, '-vs-'), 1) - 1 AS side FROM k)
