@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 BLOCK_ROWS = 8_000
+#: So many cosines are held at once; a block's queries are taken in steps of that size.
+STEP_CELLS = 8_000_000
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -16,19 +20,30 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
+def _products(queries: pa.Table, rows: pa.Table, decimals: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids of some queries, ids of all rows, their rounded cosines), step by step; a row's cosine with itself is -2."""
+    q, r, left, right = queries["id"].to_numpy(), rows["id"].to_numpy(), _matrix(queries["unit"]), _matrix(rows["unit"]).T
+    step = max(1, STEP_CELLS // len(r))
+    for at in range(0, len(q), step):
+        some = q[at : at + step]
+        cosines = np.round(left[at : at + step] @ right, decimals)
+        cosines[some[:, None] == r[None]] = -2
+        yield some, r, cosines
+
+
 def _search(n: int, least: float, decimals: int):
     def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
         schema = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("similarity", pa.float64())])
         if not queries.num_rows or not rows.num_rows:
             return schema.empty_table()
-        q, r = queries["id"].to_numpy(), rows["id"].to_numpy()
-        found = np.round(_matrix(queries["unit"]) @ _matrix(rows["unit"]).T, decimals)
-        found[q[:, None] == r[None]] = -2
-        ok = found >= least
-        if n < len(r):
-            ok &= found >= np.partition(found, len(r) - n, axis=1)[:, len(r) - n : len(r) - n + 1]
-        at, to = np.nonzero(ok)
-        return pa.Table.from_arrays([pa.array(q[at]), pa.array(r[to]), pa.array(found[at, to])], schema=schema)
+        parts = []
+        for q, r, found in _products(queries, rows, decimals):
+            ok = found >= least
+            if n < len(r):
+                ok &= found >= np.partition(found, len(r) - n, axis=1)[:, len(r) - n : len(r) - n + 1]
+            at, to = np.nonzero(ok)
+            parts.append(pa.Table.from_arrays([pa.array(q[at]), pa.array(r[to]), pa.array(found[at, to])], schema=schema))
+        return pa.concat_tables(parts)
 
     return search
 
@@ -48,12 +63,12 @@ def _count(least: float):
         schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("best", pa.float64())])
         if not queries.num_rows or not rows.num_rows:
             return schema.empty_table()
-        q, r = queries["id"].to_numpy(), rows["id"].to_numpy()
-        found = np.round(_matrix(queries["unit"]) @ _matrix(rows["unit"]).T, 6)
-        found[q[:, None] == r[None]] = -2
-        links = (found >= least).sum(1)
-        some = links > 0
-        return pa.Table.from_arrays([pa.array(q[some]), pa.array(links[some]), pa.array(found.max(1)[some])], schema=schema)
+        parts = []
+        for q, _, found in _products(queries, rows, 6):
+            links = (found >= least).sum(1)
+            some = links > 0
+            parts.append(pa.Table.from_arrays([pa.array(q[some]), pa.array(links[some]), pa.array(found.max(1)[some])], schema=schema))
+        return pa.concat_tables(parts)
 
     return count
 

@@ -83,3 +83,17 @@ def test_page_text_modes(spark):
     assert read("dom") == ["Body & more", None] and read("regex") == ["Menu Body &amp; more", ""]
     with pytest.raises(ValueError):
         page_text(F.col("h"), "other")
+
+
+def test_small_steps_give_what_large_ones_do(spark, monkeypatch):
+    import numpy as np
+
+    from lodestar.operators import similarity as S
+
+    v = np.random.default_rng(3).standard_normal((90, 6))
+    rows = spark.createDataFrame([(i, (x / np.linalg.norm(x)).tolist()) for i, x in enumerate(v)], "id long, unit array<double>")
+    asked = rows.where("id % 4 = 0")
+    took = lambda: (sorted(map(tuple, S.nearest(asked, rows, 3, 0.2).collect())), sorted(map(tuple, S.count_links(asked, rows, 0.2).collect())))
+    whole = took()
+    monkeypatch.setattr(S, "STEP_CELLS", 200)
+    assert took() == whole and len(whole[1]) == 23
