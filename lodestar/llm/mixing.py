@@ -150,5 +150,25 @@ def p8_shares(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares}
-ORACLES: dict[str, str] = {}
+def p8_checks(spark: SparkSession, root: str) -> DataFrame:
+    """Of each source of a mix: documents used too often or not of that source, and whether its tokens miss the plan by one document at most."""
+    sizes = cut_lineage(document_sizes(spark, root).where("source IS NOT NULL AND tokens > 0").distinct())
+    targets = table(spark, root, "mix_targets")
+    plan = mix_plan(sizes, targets).join(sizes.groupBy("source").agg(F.sum(F.col("tokens").cast("double")).alias("have"), F.max("tokens").alias("largest")), "source")
+    mix = mix_sources(sizes, targets).select("mix_name", "source", "doc_id", "uses").join(sizes.select("doc_id", F.col("source").alias("true_source"), "tokens"), "doc_id", "left")
+    caps = plan.select("mix_name", "source", "max_repeats")
+    used = mix.join(F.broadcast(caps), ["mix_name", "source"], "left").groupBy("mix_name", "source").agg(  # as short as the targets
+        F.count_if(~F.coalesce(F.col("uses") <= F.col("max_repeats"), F.lit(False))).alias("over_cap"),
+        F.count_if(~F.col("source").eqNullSafe(F.col("true_source"))).alias("foreign"), F.sum(F.col("uses").cast("double") * F.col("tokens")).alias("used"),
+    )
+    off = F.abs(F.coalesce("used", F.lit(0.0)) - F.col("wanted") * F.col("have"))
+    rows = plan.join(used, ["mix_name", "source"], "left")
+    return rows.select("mix_name", "source", F.coalesce("over_cap", F.lit(0)).alias("over_cap"), F.coalesce("foreign", F.lit(0)).alias("foreign"), (off <= F.col("largest") + 1e-6 * F.col("have")).alias("on_plan"))
+
+
+QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_checks": p8_checks}
+ORACLES = {
+    "p8_checks": r"""
+SELECT DISTINCT mix_name, source, CAST(0 AS BIGINT) AS over_cap, CAST(0 AS BIGINT) AS "foreign", true AS on_plan FROM mix_targets
+WHERE target_share > 0 AND max_repeats > 0 AND source IN (SELECT regexp_replace(lower(trim(source)), '[\s-]+', '_', 'g') FROM documents WHERE source IS NOT NULL AND text <> '')"""
+}

@@ -325,6 +325,12 @@ def _rerank(k: int):
     return rerank
 
 
+def one_a_key(items: DataFrame) -> DataFrame:
+    """One vector a key: that with the smallest hash."""
+    items = items.groupBy("space", "key").agg(F.min("key_no").alias("key_no"), F.min(F.struct("class_id", "unit")).alias("x"))
+    return items.select("space", "key", "key_no", "x.unit", "x.class_id")
+
+
 def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES) -> DataFrame:
     """(space, key, neighbour, cosine6): the ``k`` others of highest cosine in the same space, ties to the smaller key.
 
@@ -333,8 +339,7 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     after rounding to 6 places; cosine6 is that number in millionths. No rows give no rows. A query meets ``candidates``
     others at least, and as many as ``enough_entries`` finds necessary.
     """
-    items = items.groupBy("space", "key").agg(F.min("key_no").alias("key_no"), F.min(F.struct("class_id", "unit")).alias("x"))
-    items = cut_lineage(items.select("space", "key", "key_no", "x.unit", "x.class_id"))
+    items = cut_lineage(one_a_key(items))
     by_key = W.partitionBy("space", "class_id").orderBy(F.col("key_no").asc_nulls_first(), "key")
     firsts = items.withColumn("place", F.row_number().over(by_key)).where(F.col("place") <= k + 1)
     entries = firsts.groupBy("space", "class_id").agg(
@@ -406,8 +411,74 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return found.select(F.substring_index("space", "/", 1).alias("collection"), F.col("key").alias("item_key"), F.col("neighbour").alias("neighbour_key"))
 
 
-QUERIES = {"p4_found": p4_found}
+def _block_best(k: int):
+    def best(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        """The k highest cosines (millionths) of each query in one block of rows, itself left out."""
+        schema = pa.schema([("space", pa.string()), ("key", pa.string()), ("cosines", pa.list_(pa.int32()))])
+        if not queries.num_rows or not rows.num_rows:
+            return schema.empty_table()
+        q, r = _matrix(queries["unit"]), _matrix(rows["unit"])
+        own, names = np.array(queries["key"].to_pylist(), dtype=object), np.array(rows["key"].to_pylist(), dtype=object)
+        out, step = [], max(1, 4_000_000 // len(r))
+        for at in range(0, len(q), step):
+            marks = np.rint(q[at : at + step] @ r.T * 1e6).astype(np.int32)
+            marks[own[at : at + step, None] == names[None]] = _LOWEST
+            top = marks if marks.shape[1] <= k else np.partition(marks, marks.shape[1] - k, axis=1)[:, -k:]
+            out += [x[x != _LOWEST] for x in top]
+        return pa.Table.from_arrays([queries["space"], queries["key"], pa.array(out, pa.list_(pa.int32()))], schema=schema)
+
+    return best
+
+
+_LOWEST = -(2**31)
+#: Rows and queries of a block of the exact search that recall is measured by.
+EXACT_ROWS = 8_000
+
+
+def measured_recall(items: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """(space, queries, wanted, found): how many of the ``k`` best neighbours of each query (space, key) the index gives.
+
+    ``items`` is as for :func:`similar_vectors`. The exact search takes the queries against all rows in pairs of blocks; a
+    neighbour found counts if its cosine is no lower than that of the exact k-th. No queries give no rows.
+    """
+    items = cut_lineage(one_a_key(items))
+    asked = cut_lineage(items.join(queries.select("space", "key").distinct(), ["space", "key"], "left_semi"))
+    asked = asked.select(*[F.col(c).alias(c) for c in ("space", "key", "unit")])  # columns of its own, apart from those of items
+    blocks = items.groupBy("space").agg(F.ceil(F.count("*") / EXACT_ROWS).alias("rbs")).join(asked.groupBy("space").agg(F.ceil(F.count("*") / EXACT_ROWS).alias("qbs")), "space")
+    place = lambda n: F.pmod(F.xxhash64("key"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    blocks = F.broadcast(blocks)  # one row a space
+    left = asked.join(blocks, "space").select("space", "key", "unit", place("qbs").alias("qb"), "rbs").withColumn("rb", every("rbs")).drop("rbs")
+    right = items.join(blocks, "space").select("space", "key", "unit", place("rbs").alias("rb"), "qbs").withColumn("qb", every("qbs")).drop("qbs")
+    at = ["space", "qb", "rb"]
+    best = spread(left, *at).groupBy(*at).cogroup(spread(right, *at).groupBy(*at)).applyInArrow(_block_best(k), "space string, key string, cosines array<int>")
+    # As many short lists as there are blocks of rows.
+    merged = best.groupBy("space", "key").agg(F.slice(F.sort_array(F.flatten(F.collect_list("cosines")), False), 1, k).alias("best"))
+    least = merged.select("space", "key", F.size("best").alias("wanted"), F.array_min("best").alias("least"))
+    near = similar_vectors(items, k).join(asked.select("space", "key"), ["space", "key"], "left_semi")
+    hits = least.join(near, ["space", "key"], "left").groupBy("space", "key", "wanted").agg(F.count_if(F.col("cosine6") >= F.col("least")).alias("found"))
+    return hits.groupBy("space").agg(F.count("*").alias("queries"), F.sum("wanted").alias("wanted"), F.sum(F.least("found", "wanted")).alias("found"))
+
+
+def p4_recall(spark: SparkSession, root: str) -> DataFrame:
+    """Of each collection the vectors of tools whose id is divisible by 20, and whether the index gives at least 0.9 of their neighbours."""
+    items = cut_lineage(usable_vectors(spark, root))
+    ids = table(spark, root, "tools").where("slug IS NOT NULL").groupBy("slug").agg(F.min("id").alias("id"))
+    by_slug = items.where("key_no IS NULL").join(ids.where("id % 20 = 0"), F.col("key") == F.col("slug"), "left_semi")
+    queries = by_slug.unionByName(items.where("key_no % 20 = 0"))
+    spaces = measured_recall(items, queries).groupBy(F.substring_index("space", "/", 1).alias("collection"))
+    return spaces.agg(F.sum("queries").alias("queries"), (F.sum("found") >= 0.9 * F.sum("wanted")).alias("enough"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_recall": p4_recall}
 ORACLES = {
+    "p4_recall": """
+WITH i AS (SELECT slug, min(id) AS id FROM tools WHERE slug IS NOT NULL GROUP BY 1),
+parsed AS (
+  SELECT 'tool_embeddings' AS collection, coalesce(model, '') AS model, slug AS k, i.id, dim, TRY_CAST(TRY_CAST(embedding_json AS JSON) AS DOUBLE[]) AS v FROM tool_embeddings JOIN i USING (slug)
+  UNION ALL SELECT 'search_embeddings', '', CAST(tool_id AS VARCHAR), tool_id, 64, CAST(embedding AS DOUBLE[]) FROM search_embeddings WHERE tool_id IS NOT NULL)
+SELECT collection, count(DISTINCT (model, k)) AS queries, true AS enough FROM parsed
+WHERE id % 20 = 0 AND len(v) = dim AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0 GROUP BY collection""",
     "p4_found": """
 WITH parsed AS (
   SELECT 'tool_embeddings' AS collection, coalesce(model, '') AS model, slug AS k, NULL::BIGINT AS no, dim,

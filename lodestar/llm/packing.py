@@ -185,5 +185,24 @@ def p7_fill(spark: SparkSession, root: str) -> DataFrame:
     return found.select("pack_name", "packs", F.ceil(F.col("tokens") / F.col("capacity")).alias("at_least"), "tokens", F.round(F.col("tokens") / room, 6).alias("used_share"))
 
 
-QUERIES = {"p7_packs": p7_packs, "p7_fill": p7_fill}
-ORACLES: dict[str, str] = {}
+def p7_checks(spark: SparkSession, root: str) -> DataFrame:
+    """For each capacity: documents with a pack, and how many are lost or changed in size, split without need, or in too full a pack."""
+    sizes = document_sizes(spark, root).select("doc_id", "tokens").distinct()
+    packed = cut_lineage(pack_items(sizes, "doc_id", "tokens", table(spark, root, "pack_sizes")))
+    overfull = packed.groupBy("pack_name", "capacity", "pack_no").agg(F.sum("size").alias("fill")).groupBy("pack_name").agg(F.count_if(F.col("fill") > F.col("capacity")).alias("overfull"))
+    whole = packed.groupBy("pack_name", "capacity", F.col("id").alias("doc_id")).agg(F.sum("size").alias("placed"), F.count("*").alias("parts"))
+    names = [r["pack_name"] for r in table(spark, root, "pack_sizes").where("capacity_tokens > 0").select("pack_name").distinct().collect()]  # parameters
+    rows = sizes.select("*", F.explode(F.array(*map(F.lit, names)).cast("array<string>")).alias("pack_name")).join(whole, ["pack_name", "doc_id"], "left")
+    right = F.col("placed").eqNullSafe(F.col("tokens").cast("long"))
+    found = rows.groupBy("pack_name").agg(
+        F.count("parts").alias("documents"), F.count_if(~right).alias("lost"), F.count_if((F.col("parts") > 1) & (F.col("tokens") <= F.col("capacity"))).alias("split_needlessly")
+    )
+    return found.join(overfull, "pack_name")
+
+
+QUERIES = {"p7_packs": p7_packs, "p7_fill": p7_fill, "p7_checks": p7_checks}
+ORACLES = {
+    "p7_checks": """
+SELECT pack_name, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS split_needlessly, CAST(0 AS BIGINT) AS overfull
+FROM (SELECT DISTINCT pack_name FROM pack_sizes WHERE capacity_tokens > 0)"""
+}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.runtime import parallelism, table
+from lodestar.runtime import let_workers_import, parallelism, table
 
 # Abbreviations after which a sentence goes on whatever follows, and those that may also end one.
 GO_ON = (
@@ -373,6 +373,7 @@ def split_sentences(documents: DataFrame, key: str, text: str) -> DataFrame:
     Null and blank texts give no rows. Repeated rows give their units once for each repeat of the key; texts of any length
     are read whole. Other columns are not read. An empty table gives no rows.
     """
+    let_workers_import(documents.sparkSession)
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     kind = rows.schema["key"].dataType.simpleString()
     spread = rows.repartition(max(parallelism(rows.sparkSession), 2 * rows.sparkSession.sparkContext.defaultParallelism))

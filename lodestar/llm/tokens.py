@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.runtime import cut_lineage, parallelism, table
+from lodestar.runtime import cut_lineage, let_workers_import, parallelism, table
 
 #: A byte-level vocabulary for many languages, in the form of ranks.
 VOCABULARY = os.environ.get("LODESTAR_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
@@ -32,6 +32,7 @@ def encoding(path: str):
 
 def with_token_counts(rows: DataFrame, text: str, path: str = VOCABULARY, name: str = "tokens") -> DataFrame:
     """Adds the number of tokens of a text column; null texts have none."""
+    let_workers_import(rows.sparkSession)
 
     @F.pandas_udf(T.IntegerType())
     def count(texts: pd.Series) -> pd.Series:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.runtime import table
+from lodestar.runtime import let_workers_import, table
 
 
 def _first_of_groups(n: int):
@@ -51,6 +51,7 @@ def top_items(rows: DataFrame, group: str, item: str, score: str, n: int) -> Dat
     """
     if n < 1:
         raise ValueError("n must be at least 1")
+    let_workers_import(rows.sparkSession)
     rows = rows.select(F.col(group).alias("g"), F.col(score).alias("s"), F.col(item).alias("i")).dropna()
     if isinstance(rows.schema["s"].dataType, (T.DoubleType, T.FloatType)):
         rows = rows.where(~F.isnan("s"))

@@ -200,4 +200,24 @@ def p6_limits(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {"p6_found": p6_found, "p6_rates": p6_rates, "p6_limits": p6_limits}
-ORACLES: dict[str, str] = {}
+_HOST = r"nullif(regexp_extract(regexp_replace(lower(trim(website_url)), '^(?:[a-z][a-z0-9+.-]*:)?/*(?:[^/@]*@)?(?:www\.)?', ''), '^([^/?#:\s]*)', 1), '')"
+_CHARACTERS = {"amps": "&", "angles": "[<>]", "quotes": '"', "breaks": r"\n", "escapes": r'["\\\n\t\r]', "beyond": r"[^\x00-\x7f]", "far": r"[\x{10000}-\x{10FFFF}]"}
+_COUNTS = ", ".join(f"length(text) - length(regexp_replace(text, '{pattern}', '', 'g')) AS {name}" for name, pattern in _CHARACTERS.items())
+_MEASURES = {
+    "code_points": "length(text)", "utf8_bytes": "strlen(text)", "utf16_units": "length(text) + far", "html_escaped": "length(text) + 4 * amps + 3 * angles + 5 * quotes",
+    "json_escaped": "length(text) + escapes", "json_ascii": "length(text) + far + escapes + 5 * (beyond + far)", "crlf": "length(text) + breaks",
+}
+_EACH = " UNION ALL ".join(f"SELECT field, site, '{name}' AS measure, {length} AS length FROM c" for name, length in _MEASURES.items())
+ORACLES = {
+    "p6_limits": f"""
+WITH s AS (SELECT slug, min({_HOST}) AS site FROM raw_tools GROUP BY slug),
+v AS (SELECT slug, 'seo_description' AS field, slug AS row_key, coalesce(enriched_at, '') AS row_version, seo_description AS text FROM enriched_tools
+  UNION SELECT slug, 'short_desc', slug, coalesce(enriched_at, ''), short_desc FROM enriched_tools UNION SELECT string_split(page_key, '-vs-')[1], 'intro_md', CAST(id AS VARCHAR), '', intro_md FROM page_seo),
+c AS (SELECT field, site, text, {_COUNTS} FROM v LEFT JOIN s USING (slug) WHERE trim(text) <> ''),
+l AS ({_EACH}), m AS (SELECT field, site, measure, length, count(*) AS n FROM l GROUP BY ALL),
+b AS (SELECT field, site, measure, length, sum(n) AS n FROM (FROM m UNION ALL SELECT field, NULL, measure, length, n FROM m) GROUP BY ALL),
+t AS (SELECT field, site, measure, max(length) AS top FROM b GROUP BY ALL),
+r AS (SELECT t.field, t.site, t.measure, top, sum(n) FILTER (length = top) AS at_top, coalesce(sum(n) FILTER (length < top AND length >= top - {NEAR}), 0) AS near
+  FROM t JOIN b ON t.field = b.field AND t.site IS NOT DISTINCT FROM b.site AND t.measure = b.measure GROUP BY ALL)
+SELECT field, site, measure, CAST(top AS INTEGER) AS "limit", CAST(at_top AS BIGINT) AS at_limit FROM r WHERE at_top >= {LIMIT_VALUES} AND at_top * {NEAR} >= near * {LIMIT_PEAK}"""
+}
