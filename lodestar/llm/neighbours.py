@@ -5,7 +5,8 @@ centroids is a cell. Every vector is in the index. A query walks the cells in th
 heap, until the cells hold enough entries, and those entries are reranked by exact cosine. How many are enough is measured
 on each space: a few hundred of its vectors are compared with all others, and walks are as long as TARGET of the neighbours
 of these need. Cells lie in blocks of bounded
-size; a query goes once to each block that holds cells of its walk, and a block is reranked with matrix products. Vectors
+size, and a block is a file in the checkpoint folder. A task has a bounded number of queries and reads the blocks that hold
+cells of their walks one after the other, so every vector is written once, however many walks meet it. Vectors
 that are equal are one entry and one query with the k + 1 smallest keys of all, so masses of copies never meet each other.
 """
 
@@ -15,17 +16,23 @@ import hashlib
 import heapq
 import json
 import math
+import re
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from lodestar.runtime import balance, cut_lineage, let_workers_import, spread, table
+from lodestar.runtime import balance, cut_lineage, ensure_checkpoint_dir, let_workers_import, spread, table
 
 #: Fitted codebooks read at most about SAMPLE vectors of a collection, chosen by hash.
 SAMPLE = 20_000
@@ -34,10 +41,17 @@ CANDIDATES = 1_500
 #: Vectors of a space that are compared with all others, and the share of their neighbours that walks have to reach.
 PROBES, TARGET = 400, 0.98
 BLOCK_ENTRIES = 32_000
+#: Queries of a task at most.
 BLOCK_QUERIES = 8_000
 #: Centroids of a half of a space with 4 x CENTROIDS^2 vectors; smaller and larger spaces have fewer and more (centroids_of).
 CENTROIDS = 64
 _NONE = np.iinfo(np.int64).min
+#: Cells of a walk up to which it is taken from a heap.
+SHORT = 150
+#: More than a cosine in single precision, and one rounded to 6 places, can be off.
+ROUGH = 2e-5
+#: A mark is a cosine in millionths times _PLACES less the place of the key among all keys of all spaces.
+_PLACES = 2**40
 
 
 _VECTORS = "space string, key string, key_no long, unit binary, class_id string"
@@ -121,11 +135,13 @@ def centroids_of(n: int) -> int:
     return max(2, round(math.sqrt(n) / 2 if n <= full else CENTROIDS * (n / full) ** (1 / 6)))
 
 
-def fit_codebooks(entries: DataFrame, counts: dict[str, int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Two codebooks for each space, from a sample of about ``SAMPLE`` vectors; 2 x centroids_of(n) of them come back."""
+def fit_codebooks(items: DataFrame, classes: DataFrame, counts: dict[str, int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Two codebooks for each space, from a sample of about ``SAMPLE`` of its ``classes``; 2 x centroids_of(n) of them come back."""
     rate = F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, min(1.0, SAMPLE / n) * 1_000_000)])
     k = {s: centroids_of(n) for s, n in counts.items()}
-    sample = entries.where(F.pmod(F.xxhash64("class_id"), F.lit(1_000_000)) < rate[F.col("space")])
+    chosen = F.pmod(F.xxhash64("class_id"), F.lit(1_000_000)) < rate[F.col("space")]
+    sample = items.select("space", "class_id", "unit").where(chosen).dropDuplicates(["space", "class_id"])
+    sample = cut_lineage(sample.join(classes.where(chosen), ["space", "class_id"], "left_semi"))
     halves = sample.select("space", "unit", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
     books: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for size in sorted(set(k.values())):
@@ -142,20 +158,46 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist())).reshape(len(column), -1)
 
 
+def _packed(units: np.ndarray) -> pa.Array:
+    """Rows of numbers of 12 places, each as the 6 low bytes of its count of 1e-12; nothing is lost."""
+    whole = np.rint(units * 1e12).astype("<i8").view(np.uint8).reshape(len(units), -1, 8)[:, :, :6]
+    return pa.array([x.tobytes() for x in np.ascontiguousarray(whole)], pa.binary())
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    low = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(len(column), -1, 6)
+    whole = np.zeros((*low.shape[:2], 8), np.uint8)
+    whole[:, :, 2:] = low
+    return (whole.view("<i8")[:, :, 0] >> 16) / 1e12
+
+
 def _distances(x: np.ndarray, books: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     half = x.shape[1] // 2
     return tuple((c**2).sum(1) - 2 * p @ c.T + (p**2).sum(1)[:, None] for p, c in zip((x[:, :half], x[:, half:]), books))
 
 
-def _assign(books: dict):
+def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each row, by sums in a fixed order: matrix products may differ in their last bit from batch to batch."""
+    off = np.tile((centroids**2).sum(1), (len(x), 1))
+    for d in range(x.shape[1]):
+        off -= x[:, d, None] * (2 * centroids[:, d])
+    return off.argmin(1)
+
+
+def _assign(books: dict, units: bool):
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """space, class_id and cell of each row, and its packed unit if asked for."""
         for batch in batches:
-            spaces, cell = np.array(batch.column("space").to_pylist(), dtype=object), np.zeros(batch.num_rows, np.int32)
+            spaces = np.array(batch.column("space").to_pylist(), dtype=object)
             for s in set(spaces):
-                own = np.flatnonzero(spaces == s)
-                a, b = _distances(_matrix(batch.column("unit").take(pa.array(own))), books[s])
-                cell[own] = a.argmin(1) * b.shape[1] + b.argmin(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=[*batch.schema.names, "cell"])
+                part = batch.take(pa.array(np.flatnonzero(spaces == s)))
+                x, (a, b) = _matrix(part.column("unit")), books[s]
+                half = x.shape[1] // 2
+                cell = (_nearest(x[:, :half], a) * len(b) + _nearest(x[:, half:], b)).astype(np.int32)
+                columns = {"space": part.column("space"), "class_id": part.column("class_id"), "cell": pa.array(cell)} | ({"unit": _packed(x)} if units else {})
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return assign
 
@@ -188,7 +230,7 @@ def _nearest_cells(probes: dict[str, tuple[list[str], np.ndarray]], k: int):
             for s in set(spaces) & set(probes):
                 part = batch.take(pa.array(np.flatnonzero(spaces == s)))
                 ids, x = probes[s]
-                cosines = x @ _matrix(part.column("unit")).T
+                cosines = x @ _unpacked(part.column("unit")).T
                 place = {c: i for i, c in enumerate(part.column("class_id").to_pylist())}
                 own = [(i, place[c]) for i, c in enumerate(ids) if c in place]
                 if own:
@@ -220,7 +262,7 @@ def enough_entries(placed: DataFrame, books: dict, sizes: dict, counts: dict[str
     chosen = placed.where(F.pmod(F.xxhash64("class_id", F.lit("probe")), F.lit(1_000_000)) < rate[F.col("space")]).select("space", "class_id", "unit")
     probes: dict[str, tuple[list[str], np.ndarray]] = {}
     for s, own in chosen.toPandas().sort_values("class_id").groupby("space"):
-        probes[s] = own["class_id"].tolist(), np.stack([np.frombuffer(u) for u in own["unit"]])
+        probes[s] = own["class_id"].tolist(), _unpacked(pa.array(own["unit"], pa.binary()))
     near = placed.select("space", "class_id", "unit", "cell").mapInArrow(_nearest_cells(probes, k), "space string, probe int, cosine double, cell int")
     place = F.row_number().over(W.partitionBy("space", "probe").orderBy(F.desc("cosine"), "cell"))
     near = near.withColumn("place", place).where(F.col("place") <= k).toPandas()  # at most PROBES x k rows a space
@@ -258,71 +300,153 @@ def plan_blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, pieces, np.array(held)
 
 
-_SENT = T.StructType([T.StructField("space", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("class_id", T.StringType()), T.StructField("unit", T.BinaryType()), T.StructField("cells", T.ArrayType(T.IntegerType()))])
+_INDEXED = "space string, class_id string, places array<long>, keys array<string>, cell int, unit binary, block int"
+
+
+def _gather(entries: pa.Table, vectors: pa.Table) -> pa.Table:
+    """The entries of one block with their units, by cell; vectors that are no entry's, and repeated ones, fall away."""
+    at = {c: i for i, c in enumerate(vectors["class_id"].to_pylist())}
+    own = [at.get(c) for c in entries["class_id"].to_pylist()]
+    if None in own:
+        raise ValueError("items gave other vectors when they were read again")
+    table = pa.table({c: entries[c] for c in ("space", "class_id", "places", "keys", "cell")} | {"unit": vectors["unit"].take(pa.array(own, pa.int64())), "block": entries["block"]})
+    return table.sort_by("cell")
+
+
+def _read(paths: list[str], columns: list[str]) -> pa.Table:
+    tables = []
+    for path in paths:
+        system, inside = FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+        tables.append(pq.read_table(unquote(inside), columns=columns, filesystem=system, partitioning=None, use_threads=False))
+    return pa.concat_tables(tables)
+
+
+def _reach(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, enough: int) -> np.ndarray:
+    """The summed distance of the last cell of each query's walk; long walks are not taken from a heap, their end is found among all sums."""
+    live = np.flatnonzero(sizes)
+    if enough * len(live) < SHORT * sizes.sum():
+        counts = sizes.tolist()
+        last = [walk(x, y, counts, enough)[-1] for x, y in zip(a, b)]
+        return a[np.arange(len(a)), np.array(last) // b.shape[1]] + b[np.arange(len(b)), np.array(last) % b.shape[1]]
+    held, rows, cols = sizes[live].astype(float), live // b.shape[1], live % b.shape[1]
+    ends, enough, end = np.empty(len(a)), min(enough, held.sum()), math.nan
+    for q in range(len(a)):
+        sums = a[q][rows] + b[q][cols]
+        low, high = end * 0.98, end * 1.02  # the query before is often like this one
+        below = held @ (sums <= low)
+        if below < enough <= held @ (sums <= high):
+            near = np.flatnonzero((low < sums) & (sums <= high))
+        else:
+            near, below = np.arange(len(sums)), 0.0
+        near = near[np.argsort(sums[near])]
+        end = ends[q] = sums[near[np.searchsorted(np.cumsum(held[near]), enough - below)]]
+    return ends
+
+
+def _better(best: np.ndarray, floor: np.ndarray, who: np.ndarray, x: tuple[np.ndarray, np.ndarray], e: tuple[np.ndarray, np.ndarray], places: np.ndarray) -> None:
+    """Take the entries ``e`` into the marks ``best`` of the queries ``who``; ``floor`` is a bound of what can still enter.
+
+    Vectors come in single and in double precision. Single precision only tells which queries have something above the floor.
+    """
+    step, k = max(1, 2_000_000 // len(places)), best.shape[1]
+    for at in range(0, len(who), step):
+        some = who[at : at + step]
+        some = some[(e[0] @ x[0][some].T).max(0) >= floor[some]]
+        if len(some):
+            marks = np.rint(x[1][some] @ e[1].T * 1e6).astype(np.int64) * _PLACES - places
+            both = np.concatenate([best[some], marks], axis=1)
+            best[some] = both = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            least = both.min(1)
+            floor[some] = np.where(least == _NONE, -np.inf, -(-least // _PLACES) / 1e6 - ROUGH)
+
+
+def _keys_of(best: np.ndarray, k: int, tables: Iterator[pa.Table]) -> tuple[pa.Array, pa.Array]:
+    """Cosines and keys, at most ``k`` of each, of the marks of each query; an entry counts with all its keys, ties go to the smaller place."""
+    query, _ = np.nonzero(best != _NONE)
+    marks = best[best != _NONE]
+    first = (-marks) % _PLACES
+    cosine, wanted, kept = (marks + first) // _PLACES, np.unique(first), []
+    for table in tables:
+        places = table["places"].combine_chunks()
+        starts = places.flatten().to_numpy()[places.offsets.to_numpy()[:-1] - places.offsets[0].as_py()]
+        kept.append(table.filter(pa.array(np.isin(starts, wanted))))
+    table = pa.concat_tables(kept).combine_chunks()
+    places, keys = (table[c].combine_chunks() for c in ("places", "keys"))
+    starts, ends = places.offsets.to_numpy()[:-1] - places.offsets[0].as_py(), places.offsets.to_numpy()[1:] - places.offsets[0].as_py()
+    places, keys = places.flatten().to_numpy(), keys.flatten()
+    order = np.argsort(places[starts], kind="stable")
+    entry = order[np.searchsorted(places[starts], first, sorter=order)]
+    many = (ends - starts)[entry]
+    at = np.repeat(starts[entry] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    query, cosine = np.repeat(query, many), np.repeat(cosine, many)
+    order = np.lexsort((places[at], -cosine, query))
+    query, cosine, at = query[order], cosine[order], at[order]
+    keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+    offsets = pa.array(np.searchsorted(query[keep], np.arange(len(best) + 1)).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(cosine[keep].astype(np.int32))), pa.ListArray.from_arrays(offsets, keys.take(pa.array(at[keep])))
+
+
+def _search(books: dict, sizes: dict, plans: dict, blocks: dict[tuple[str, int], list[str]], enough: dict[str, int], k: int):
+    def found(space: str, block: int, part: int, parts: int) -> pa.RecordBatch:
+        own = _read(blocks[space, block], ["class_id", "unit"])
+        own = own.slice(len(own) * part // parts, len(own) * (part + 1) // parts - len(own) * part // parts)
+        x = _unpacked(own["unit"])
+        first, pieces, held = plans[space]
+        a, b = _distances(x, books[space])
+        reach = _reach(a, b, sizes[space], enough[space])
+        by_a, by_b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+        visitors = lambda cell: np.flatnonzero(by_a[cell // len(by_b)] + by_b[cell % len(by_b)] <= reach)
+        best, floor, met = np.full((len(x), k), _NONE), np.full(len(x), -np.inf), []
+        x, far = (x.astype(np.float32), x), (a.mean(0)[:, None] + b.mean(0)).ravel()
+        for other in sorted(range(len(held)), key=lambda n: abs(n - block)):  # near blocks first, so that floors rise soon
+            cells = np.flatnonzero((first <= other) & (other < first + pieces) & (sizes[space] > 0))
+            cells = cells[np.argsort(far[cells])]
+            if (space, other) not in blocks or not any(len(visitors(c)) for c in cells):
+                continue
+            met.append(other)
+            entries = _read(blocks[space, other], ["places", "cell", "unit"])
+            e, at, places = _unpacked(entries["unit"]), entries["cell"].to_numpy(), entries["places"].combine_chunks()
+            rough = e.astype(np.float32)
+            places = places.flatten().to_numpy()[places.offsets.to_numpy()[:-1] - places.offsets[0].as_py()]
+            for cell in cells:
+                low, high = np.searchsorted(at, cell), np.searchsorted(at, cell, "right")
+                who = visitors(cell) if low < high else []
+                if len(who):
+                    _better(best, floor, who, x, (rough[low:high], e[low:high]), places[low:high])
+        cosines, keys = _keys_of(best, k, (_read(blocks[space, n], ["places", "keys"]) for n in met))
+        return pa.RecordBatch.from_arrays([pa.array([space] * len(own), pa.string()), own["class_id"].combine_chunks(), cosines, keys], names=["space", "class_id", "cosines", "keys"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For the queries of each part of a block the ``k`` nearest keys, their own among them."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield found(**row)
 
+    return search
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Shuffle files go when the job that wrote them ends, not when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
-def _send(books: dict, sizes: dict, plans: dict, enough: dict[str, int]):
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {s: x.tolist() for s, x in sizes.items()}
-        for batch in batches:
-            spaces = np.array(batch.column("space").to_pylist(), dtype=object)
-            for s in set(spaces):
-                own = np.flatnonzero(spaces == s)
-                part = batch.take(pa.array(own))
-                first, pieces, _ = plans[s]
-                a, b = _distances(_matrix(part.column("unit")), books[s])
-                at, blocks, cells = [], [], []
-                starts, spans = first.tolist(), pieces.tolist()
-                for q in range(len(own)):
-                    goes: dict[int, list[int]] = {}
-                    for cell in walk(a[q], b[q], counts[s], enough[s]):
-                        for block in range(starts[cell], starts[cell] + spans[cell]):
-                            goes.setdefault(block, []).append(cell)
-                    at += [q] * len(goes)
-                    blocks += goes.keys()
-                    cells += goes.values()
-                    if len(at) > 20_000 or q == len(own) - 1:
-                        rows = part.take(pa.array(at, pa.int64()))
-                        yield pa.RecordBatch.from_arrays([rows.column("space"), pa.array(blocks, pa.int32()), rows.column("class_id"), rows.column("unit"), pa.array(cells, pa.list_(pa.int32()))], names=_SENT.names)
-                        at, blocks, cells = [], [], []
-
-    return send
-
-
-def _rerank(k: int):
-    def rerank(queries: pa.Table, entries: pa.Table) -> pa.Table:
-        """The k best entries of one block for each query, among the cells of its walk, by cosine to 6 places and key."""
-        schema = pa.schema([("space", pa.string()), ("class_id", pa.string()), ("cosines", pa.list_(pa.int32())), ("keys", pa.list_(pa.list_(pa.string())))])
-        if not queries.num_rows or not entries.num_rows:
-            return schema.empty_table()
-        order = pd.DataFrame({"n": entries["key_no"].to_pandas(), "k": [x[0] for x in entries["keys"].to_pylist()]}).sort_values(["n", "k"]).index.to_numpy()
-        entries = entries.take(pa.array(order))  # the place of an entry is now the order of its key
-        e, q, e_cell = _matrix(entries["unit"]), _matrix(queries["unit"]), entries["cell"].to_numpy()
-        cells = queries["cells"].combine_chunks()
-        cells = pa.concat_arrays(cells.chunks) if isinstance(cells, pa.ChunkedArray) else cells
-        visits, visitor = cells.flatten().to_numpy(), np.repeat(np.arange(len(q)), np.diff(cells.offsets.to_numpy()))
-        by = np.argsort(visits, kind="stable")
-        visits, visitor = visits[by], visitor[by]
-        best = np.full((len(q), k), _NONE)
-        for cell in np.unique(e_cell):
-            inside = np.flatnonzero(e_cell == cell)
-            who = visitor[np.searchsorted(visits, cell) : np.searchsorted(visits, cell, "right")]
-            step = max(1, 2_000_000 // len(inside))
-            for at in range(0, len(who), step):
-                some = who[at : at + step]
-                marks = np.rint(q[some] @ e[inside].T * 1e6).astype(np.int64) * 2**32 - inside
-                both = np.concatenate([best[some], marks], axis=1)
-                best[some] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
-        counts = (best != _NONE).sum(1)
-        marks = best[best != _NONE]
-        place = (-marks) % 2**32
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        cosines = pa.ListArray.from_arrays(offsets, pa.array(((marks + place) // 2**32).astype(np.int32)))
-        keys = entries["keys"].combine_chunks().take(pa.array(place))
-        keys = pa.concat_arrays(keys.chunks) if isinstance(keys, pa.ChunkedArray) else keys
-        return pa.Table.from_arrays([queries["space"], queries["class_id"], cosines, pa.ListArray.from_arrays(offsets, keys)], schema=schema)
-
-    return rerank
+
+def _placed(keys: DataFrame) -> DataFrame:
+    """(space, key, class_id) with ``place``, a number that grows with space, key_no (nulls first) and key and leaves none out."""
+    by_key = keys.orderBy("space", F.col("key_no").asc_nulls_first(), "key").select("space", "key", "class_id")
+    rows = cut_lineage(by_key.withColumn("row", F.monotonically_increasing_id()))
+    part = F.shiftright("row", 33)
+    counts = sorted(map(tuple, rows.groupBy(part.alias("part")).count().collect()))  # one row a partition
+    before = np.cumsum([0] + [n for _, n in counts]).tolist()
+    starts = rows.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(counts, before)], "part long, before long")
+    rows = rows.withColumn("part", part.cast("long")).join(F.broadcast(starts), "part")
+    return rows.select("space", "key", "class_id", (F.col("before") + F.col("row").bitwiseAND(2**33 - 1)).alias("place"))
 
 
 def one_a_key(items: DataFrame) -> DataFrame:
@@ -339,59 +463,60 @@ def similar_vectors(items: DataFrame, k: int = 10, candidates: int = CANDIDATES)
     after rounding to 6 places; cosine6 is that number in millionths. No rows give no rows. A query meets ``candidates``
     others at least, and as many as ``enough_entries`` finds necessary.
     """
-    items = cut_lineage(one_a_key(items))
-    by_key = W.partitionBy("space", "class_id").orderBy(F.col("key_no").asc_nulls_first(), "key")
-    firsts = items.withColumn("place", F.row_number().over(by_key)).where(F.col("place") <= k + 1)
-    entries = firsts.groupBy("space", "class_id").agg(
-        F.min_by("unit", "place").alias("unit"),
-        F.min_by("key_no", "place").alias("key_no"),
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "key"))), lambda x: x["key"]).alias("keys"),
-    )
-    entries = cut_lineage(entries)
-    counts = {r["space"]: r["count"] for r in entries.groupBy("space").count().collect()}
+    with _shuffles_dropped(items.sparkSession):
+        return _similar(items, k, candidates)
+
+
+def _similar(items: DataFrame, k: int, candidates: int) -> DataFrame:
+    spark = items.sparkSession
+    keys = cut_lineage(items.groupBy("space", "key").agg(F.min("key_no").alias("key_no"), F.min("class_id").alias("class_id")))
+    counts = {r["space"]: r["n"] for r in keys.groupBy("space").agg(F.count_distinct("class_id").alias("n")).collect()}
     if not counts:
-        return items.select("space", "key", F.col("key").alias("neighbour"), F.lit(0).alias("cosine6"))
-    books = fit_codebooks(entries, counts)
-    placed = entries.mapInArrow(_assign(books), T.StructType([*entries.schema.fields, T.StructField("cell", T.IntegerType())]))
+        return keys.select("space", "key", F.col("key").alias("neighbour"), F.lit(0).alias("cosine6"))
+    books = fit_codebooks(items, keys.select("space", "class_id"), counts)
+    keys = _placed(keys)
+    number = F.row_number().over(W.partitionBy("space", "class_id").orderBy("place"))
+    firsts = keys.withColumn("number", number).where(F.col("number") <= k + 1)
+    entries = firsts.groupBy("space", "class_id").agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("x"))
+    entries = entries.select("space", "class_id", F.col("x.place").alias("places"), F.col("x.key").alias("keys"))
+    vectors = items.select("space", "class_id", "unit")
+    cells = vectors.mapInArrow(_assign(books, False), "space string, class_id string, cell int").dropDuplicates(["space", "class_id"])
+    entries = cut_lineage(entries.join(cells, ["space", "class_id"]))
     sizes = {s: np.zeros(len(a) * len(b), np.int64) for s, (a, b) in books.items()}
-    for r in placed.groupBy("space", "cell").count().collect():  # at most the square of centroids_of(n) a space
+    for r in entries.groupBy("space", "cell").count().collect():  # at most the square of centroids_of(n) a space
         sizes[r["space"]][r["cell"]] = r["count"]
     plans = {s: plan_blocks(x) for s, x in sizes.items()}
-    enough = enough_entries(placed, books, sizes, counts, k, candidates)
-    spark = items.sparkSession
-    cells = spark.createDataFrame(
-        [(s, int(c), int(p[0][c]), int(p[1][c])) for s, p in plans.items() for c in np.flatnonzero(sizes[s])], "space string, cell int, first int, pieces int"
+    before = dict(zip(plans, np.cumsum([0] + [len(p[2]) for p in plans.values()]).tolist()))
+    of_cells = F.broadcast(
+        spark.createDataFrame([(s, int(c), before[s] + int(p[0][c]), int(p[1][c])) for s, p in plans.items() for c in np.flatnonzero(sizes[s])], "space string, cell int, first int, pieces int")
     )
-    sent = cut_lineage(spread(entries.select("space", "class_id", "unit"), "class_id").mapInArrow(_send(books, sizes, plans, enough), _SENT))
-    splits = sent.groupBy("space", "block").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("splits"))
-    sent = sent.join(F.broadcast(splits), ["space", "block"]).withColumn("split", F.pmod(F.xxhash64("class_id"), F.col("splits")).cast("int"))
-    placed = (
-        placed.join(F.broadcast(cells), ["space", "cell"])
-        .withColumn("block", (F.col("first") + F.pmod(F.xxhash64("class_id"), F.col("pieces"))).cast("int"))
-        .join(F.broadcast(splits), ["space", "block"])
-        .withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-    )
-    at = ["space", "block", "split"]
-    ranked = (
-        spread(sent.select(*at, "class_id", "unit", "cells"), *at)
-        .groupBy(*at)
-        .cogroup(spread(placed.select(*at, "cell", "key_no", "keys", "unit"), *at).groupBy(*at))
-        .applyInArrow(_rerank(k + 1), "space string, class_id string, cosines array<int>, keys array<array<string>>")
-    )
-    numbered = items.where("key_no IS NOT NULL").limit(1).count() > 0
-    no = (lambda key: key.try_cast("bigint")) if numbered else (lambda key: F.lit(None).cast("bigint"))
-    # Structs sort by their fields in turn: least negative cosine first, then the smaller key.
-    one = lambda x: F.transform(x["keys"], lambda key: F.struct((-x["cosines"]).alias("order"), no(key).alias("no"), key.alias("neighbour")))
-    near = F.flatten(F.transform(F.arrays_zip("cosines", "keys"), one))
-    best = ranked.select("space", "class_id", near.alias("near"))
-    # As many lists as blocks a walk can touch, each of k + 1 entries.
-    lists = best.groupBy("space", "class_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("list"))
-    own = F.slice(F.filter("list", lambda x: x["neighbour"] != F.col("key")), 1, k)
+    block = (F.col("first") + F.pmod(F.xxhash64("class_id"), F.col("pieces"))).cast("int")
+    in_blocks = lambda rows: spread(rows.join(of_cells, ["space", "cell"]).withColumn("block", block).drop("first", "pieces"), "block").groupBy("block")
+    vectors = vectors.mapInArrow(_assign(books, True), "space string, class_id string, cell int, unit binary")
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/neighbours-{uuid.uuid4().hex}"
+    in_blocks(entries).cogroup(in_blocks(vectors)).applyInArrow(_gather, _INDEXED).write.partitionBy("block").parquet(folder)
+    try:
+        index = spark.read.parquet(folder)
+        files: dict[int, list[str]] = {}
+        for path in index.inputFiles():
+            files.setdefault(int(re.search(r"/block=(\d+)/", path)[1]), []).append(path)
+        blocks = {(s, n): files[before[s] + n] for s, p in plans.items() for n in range(len(p[2])) if before[s] + n in files}
+        enough = enough_entries(index, books, sizes, counts, k, candidates)
+        tasks = 4 * spark.sparkContext.defaultParallelism
+        most = max(1, min(BLOCK_QUERIES, math.ceil(sum(counts.values()) / tasks)))
+        parts = [(s, n, i, p) for s, n in blocks for p in [math.ceil(plans[s][2][n] / most)] for i in range(p)]
+        asked = spark.createDataFrame(spark.sparkContext.parallelize(parts, len(parts)), "space string, block int, part int, parts int")
+        lists = cut_lineage(asked.mapInArrow(_search(books, sizes, plans, blocks, enough, k + 1), "space string, class_id string, cosines array<int>, keys array<string>"))
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    near = F.slice(F.filter(F.arrays_zip("cosines", "keys"), lambda x: x["keys"] != F.col("key")), 1, k)
     return (
-        items.select("space", "key", "class_id")
+        keys.select("space", "key", "class_id")
         .join(lists, ["space", "class_id"])
-        .select("space", "key", F.explode(own).alias("x"))
-        .select("space", "key", F.col("x.neighbour").alias("neighbour"), (-F.col("x.order")).alias("cosine6"))
+        .select("space", "key", F.explode(near).alias("x"))
+        .select("space", "key", F.col("x.keys").alias("neighbour"), F.col("x.cosines").alias("cosine6"))
     )
 
 

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ from lodestar.llm.groups import group_identifiers, union_find
 from lodestar.llm.mixing import mix_sources, pivot, round_fractions
 from lodestar.llm.packing import pack_items
 from lodestar.llm.topn import top_items
+from lodestar.runtime import ensure_checkpoint_dir
 
 
 def rows(df):
@@ -123,6 +125,40 @@ def test_neighbours_recall(spark, monkeypatch):
     assert np.mean([len(found[k] & set(wanted[k])) / 10 for k in keys]) >= 0.9
 
 
+def _bytes_on_disk(spark):
+    context = spark.sparkContext
+    folders = [context.getCheckpointDir().removeprefix("file:"), *map(str, context._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())]
+    return sum(p.stat().st_size for f in folders for p in Path(f).rglob("*") if p.is_file())
+
+
+def test_neighbours_disk_does_not_grow_with_blocks(spark, monkeypatch):
+    x = np.random.default_rng(21).standard_normal((2000, 32))
+    keys = [f"k{i:04d}" for i in range(2000)]
+    items = _items(spark, x.tolist(), keys)
+    ensure_checkpoint_dir(spark)
+    monkeypatch.setattr(N, "BLOCK_ENTRIES", 50)
+    monkeypatch.setattr(N, "BLOCK_QUERIES", 50)
+    before = _bytes_on_disk(spark)
+    near = N.similar_vectors(items, 10, candidates=2000)
+    assert _bytes_on_disk(spark) - before < 8 * x.nbytes
+    assert _lists(near) == {k: set(v) for k, v in _brute(x, keys, 10).items()}
+
+
+def test_packed_units_lose_nothing():
+    x = np.round(np.random.default_rng(22).standard_normal((50, 7)) / 3, 12) + 0.0
+    x[0, :4] = 1, -1, 0, -1e-12
+    packed = N._packed(x)
+    assert (N._unpacked(packed) == x).all() and (N._unpacked(packed.slice(3, 9)) == x[3:12]).all()
+
+
+def test_equal_cosines_go_by_key_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ENTRIES", 4)
+    turns = np.linspace(0, 2 * np.pi, 24, endpoint=False)
+    x = np.repeat(np.column_stack([np.cos(turns), np.sin(turns), 0 * turns]), 2, axis=0)
+    keys = [f"k{i:02d}" for i in np.random.default_rng(23).permutation(48)]
+    assert _lists(N.similar_vectors(_items(spark, x.tolist(), keys), 6)) == {k: set(v) for k, v in _brute(x, keys, 6).items()}
+
+
 def test_walks_grow_until_independent_vectors_are_found(spark):
     x = np.random.default_rng(14).standard_normal((1500, 16))
     keys = [f"k{i:04d}" for i in range(1500)]
@@ -130,6 +166,17 @@ def test_walks_grow_until_independent_vectors_are_found(spark):
     assert np.mean([len(found[k] & set(wanted[k])) / 10 for k in keys]) >= 0.9
 
 
+def test_long_walks_end_where_those_from_a_heap_do(monkeypatch):
+    draw = np.random.default_rng(24)
+    a, b, sizes = draw.random((40, 9)), draw.random((40, 8)), draw.integers(0, 4, 72)
+    for enough in (1, 30, 10**6):
+        ends = {}
+        for short in (0, 10**9):
+            monkeypatch.setattr(N, "SHORT", short)
+            ends[short] = N._reach(a, b, sizes, enough).tolist()
+        assert ends[0] == ends[10**9]
+
+
 def test_centroids_grow_with_a_space():
     assert [N.centroids_of(n) for n in (3, 400, 16_384, 200_000, 1_000_000)] == [2, 10, 64, 97, 127]
 
