@@ -21,6 +21,8 @@ CLOSE = "\"'”’»)\\]」』）"
 LIMIT_VALUES, LIMIT_PEAK, NEAR = 4, 3, 12
 #: A word ends sentences if at least this share of its uses does; list items may end in any known word.
 RARE_END = 0.02
+#: Characters at the end of a value in which its ending is looked for; all patterns but runs of closing marks are shorter.
+TAIL = 64
 # Abbreviations that want something after them, and words that may stand before dots without a cut.
 WANTS_MORE = r"(?i)(?:^|[\s(])(?:e\.g|i\.e|vs|cf|approx|no|dr|mr|mrs|ms|prof|sr|sra|dra|st|mme|p\. ?ex|p\. ?ej|z\. ?b|d\. ?h|u\. ?a|nr|bzw|ca|art|pág|fig|jan|feb)\.$"
 OPEN_END = r"(?i)(?:and (?:much |many )?more|and so on|and so forth|et (?:bien )?plus encore|et cetera|y (?:mucho )?más|und (?:vieles |so )?(?:mehr|weiter)|など|等等)(?:\.{3}|…)[\"”»]?$"
@@ -28,10 +30,12 @@ OPEN_END = r"(?i)(?:and (?:much |many )?more|and so on|and so forth|et (?:bien )
 
 def measures(text: Column) -> dict[str, Column]:
     """The lengths of a value under the encodings and escapings a store may count in."""
-    extra = lambda pattern, by: F.length(F.regexp_replace(text, f"[^{pattern}]", "")) * F.lit(by)
+    # One pass leaves the characters that any escaping changes; they are few, and each kind is counted among them.
+    special = F.regexp_replace(text, "[^&<>\"\\\\\\n\\t\\r]+", "")
+    extra = lambda kind, by: F.length(F.regexp_replace(special, f"[^{kind}]+", "")) * F.lit(by)
     points, bytes_, units = F.length(text), F.octet_length(text), (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
     escapes = extra("\"\\\\\\n\\t\\r", 1)
-    beyond = F.octet_length(F.encode(F.regexp_replace(text, "[\\x00-\\x7f]", ""), "UTF-16BE")) / 2
+    beyond = F.octet_length(F.encode(F.regexp_replace(text, "[\\x00-\\x7f]+", ""), "UTF-16BE")) / 2
     return {
         "code_points": points,
         "utf8_bytes": bytes_,
@@ -70,35 +74,42 @@ def _arrays(columns: dict[str, Column]) -> tuple[Column, Column]:
     return F.array(*[F.lit(name) for name in columns]), F.array(*columns.values())
 
 
+def _word(token: Column) -> Column:
+    """A token in lower case without the marks around it."""
+    return F.lower(F.regexp_replace(token, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
+
+
 def _endings(values: DataFrame) -> DataFrame:
     """Adds what the ending of a value says: ``verdict`` (true, false or null for a single phrase) and the words to look up."""
     v = F.regexp_replace("text", "^[\\s\\u00a0\\ufeff]+|[\\s\\u00a0\\ufeff]+$", "")
-    values = values.withColumn("v", v).where("v <> ''")
+    values = values.where(F.col("text").rlike("[^\\s\\u00a0\\ufeff]")).withColumn("v", v)  # not v <> '', which would trim twice
     v = F.col("v")
     last_part = F.regexp_replace(v, f"(?s)^.*(?:[.!?؟।…][{CLOSE}]*[\\s\\u00a0]|[。！？][{CLOSE}]*|\\n)[\\s\\u00a0]*", "")
-    values = values.withColumn("part", last_part)
-    part = F.col("part")
-    dots = v.rlike(f"(?:…|\\.{{3}}|\\[…\\])[{CLOSE}]*$")
+    # Endings are read from a short tail, as a pattern with an end is tried at each character; where closing marks fill it, from the value.
+    end = F.right(v, F.lit(TAIL))
+    end = F.when(end.rlike(f"(?s)^.{{3}}[{CLOSE}\\x{{85}}\\x{{2028}}\\x{{2029}}]*$"), v).otherwise(end)
+    values = values.withColumn("part", last_part).withColumn("tail", end)
+    part, tail = F.col("part"), F.col("tail")
+    dots = tail.rlike(f"(?:…|\\.{{3}}|\\[…\\])[{CLOSE}]*$")
     whole_part = (
         part.rlike(r"^(?:https?://|www\.)?[\w-]+(?:\.[\w-]+)+\.?[a-z]{2,}(?:/\S*)?$") & ~part.rlike(r"^www\.[\w-]+$")
-        | part.rlike(r"^\([^()]*\)$") | part.rlike(r"\[[^\[\]]+\]\([^()\s]+\)$") | part.rlike("^[^\\p{L}\\p{N}]*$") | v.rlike("[\\x{1F300}-\\x{1FAFF}\\x{2600}-\\x{27BF}]\\x{FE0F}?$")
+        | part.rlike(r"^\([^()]*\)$") | part.rlike(r"\[[^\[\]]+\]\([^()\s]+\)$") | part.rlike("^[^\\p{L}\\p{N}]*$") | tail.rlike("[\\x{1F300}-\\x{1FAFF}\\x{2600}-\\x{27BF}]\\x{FE0F}?$")
     )
     listed = part.rlike(r"^(?:[-*•✓]|\d{1,2}[.)])\s")
     first_only = part == v
     verdict = (
-        F.when(v.rlike("\\x{FFFD}$"), True)
-        .when(v.rlike(OPEN_END), False)
+        F.when(tail.rlike("\\x{FFFD}$"), True)
+        .when(tail.rlike(OPEN_END), False)
         .when(dots, True)
-        .when(v.rlike(f"[{STOP}][{CLOSE}]*$"), v.rlike(WANTS_MORE))
+        .when(tail.rlike(f"[{STOP}][{CLOSE}]*$"), tail.rlike(WANTS_MORE))
         .when(whole_part, False)
-        .when(v.rlike("[,;:(\\[-]$"), True)
+        .when(tail.rlike("[,;:(\\[-]$"), True)
         .when(listed | first_only, F.when(part.rlike("[\\x{3040}-\\x{30FF}\\x{3400}-\\x{9FFF}]$"), part.rlike("[はをが、，]")))
         .otherwise(True)
     )
-    word = lambda text: F.lower(F.regexp_replace(text, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
     return values.select(
-        "field", "row_key", "row_version", "site", "lengths", "v", verdict.alias("verdict"), listed.alias("listed"), v.rlike(r"(?:\d|\b\p{L}|\b(?:approx|incl|excl|max|min|vol|ext|dept|est|resp|inkl|evtl))\.$").alias("dotted"),
-        word(F.regexp_extract(part, r"(\S+)$", 1)).alias("last_word"), F.regexp_extract(part, r"^(\S+\s+\S+)", 1).alias("opening"),
+        "field", "row_key", "row_version", "site", "lengths", "v", verdict.alias("verdict"), listed.alias("listed"), tail.rlike(r"(?:\d|\b\p{L}|\b(?:approx|incl|excl|max|min|vol|ext|dept|est|resp|inkl|evtl))\.$").alias("dotted"),
+        _word(F.regexp_replace(part, r"(?s)^.*\s", "")).alias("last_word"), F.regexp_extract(part, r"^(\S+\s+\S+)", 1).alias("opening"),
     )
 
 
@@ -107,19 +118,20 @@ def _vocabulary(values: DataFrame, open_words: DataFrame) -> tuple[DataFrame, Da
 
     Words are cut into beginnings no longer than the longest of ``open_words``, for which they are looked up.
     """
-    sentences = values.select(F.posexplode(F.split("v", f"(?<=[.!?])[{CLOSE}]?\\s+")).alias("no", "s"), F.col("v"))
-    tokens = values.select(F.explode(F.slice(F.split("v", "\\s+"), F.lit(1), F.greatest(F.size(F.split("v", "\\s+")) - 1, F.lit(0)))).alias("t"))
-    closing = values.where(F.col("v").rlike(f"[{STOP}][{CLOSE}]*$")).select(F.regexp_extract("v", r"(\S+)$", 1).alias("t"))
-    marked = tokens.unionByName(closing).select(
-        F.lower(F.regexp_replace("t", "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", "")).alias("last_word"), F.col("t").rlike(f"[{STOP}][{CLOSE}]*$").alias("at_end")
-    )
-    words = cut_lineage(
-        marked.where("last_word <> ''").groupBy("last_word").agg(F.count_if("at_end").alias("ends"), F.count_if(~F.col("at_end")).alias("goes_on"))
-    )
+    sentences = values.select(F.explode(F.split("v", f"(?<=[.!?])[{CLOSE}]?\\s+")).alias("s"))
+    at_end = lambda token: token.rlike(f"[{STOP}][{CLOSE}]*$")
+    split = values.select(F.split("v", "\\s+").alias("all"))
+    # The last word of a value counts only where a sentence ends there.
+    used = F.when(at_end(F.element_at("all", -1)), F.col("all")).otherwise(F.slice("all", F.lit(1), F.size("all") - 1))
+    # Equal tokens are counted before any is taken apart: there are many times fewer of them than tokens.
+    tokens = split.select(F.explode(used).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    marked = tokens.select(_word(F.col("t")).alias("last_word"), at_end(F.col("t")).alias("at_end"), "n").where("last_word <> ''")
+    uses = lambda kind: F.sum(F.when(kind, F.col("n")).otherwise(F.lit(0)))
+    words = cut_lineage(marked.groupBy("last_word").agg(uses(F.col("at_end")).alias("ends"), uses(~F.col("at_end")).alias("goes_on")))
     longest = open_words.agg(F.coalesce(F.max(F.length("last_word")), F.lit(0)).alias("longest"))
     begun = words.where("length(last_word) > 1").join(F.broadcast(longest), F.lit(True)).where("longest > 0")  # one row
     starts = begun.select(F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("last_word") - 1, F.col("longest"))), lambda i: F.substring("last_word", F.lit(1), i))).alias("last_word"))
-    finished = sentences.where(F.col("s").rlike("[.!?]$") | F.col("s").rlike(f"[.!?][{CLOSE}]$"))
+    finished = sentences.where(F.right("s", F.lit(4)).rlike(f"[.!?][{CLOSE}]?$"))
     openings = finished.select(F.regexp_extract("s", r"^(\S+\s+\S+)", 1).alias("opening")).where("opening <> ''").groupBy("opening").agg(F.count("*").alias("sentences"))
     return words, starts.distinct(), openings.where("sentences >= 2")
 
